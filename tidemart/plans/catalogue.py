@@ -8,12 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.functions import hash_bucket, session_id
+from tidemart.operators.latest import keep_latest
 from tidemart.operators.sampling import hash_sample
 from tidemart.plans import marts, prep, quality
 from tidemart.plans.facts import fact_order_logistics, fact_orders
 from tidemart.plans.dims import customer_lookup
 from tidemart.plans.warehouse import Warehouse
+from tidemart.schemas import WEB_EVENTS_JSON
 from tidemart.sources.driver_tables import DriverTables
+from tidemart.sources.scratch import scratch_folder
+from tidemart.streaming.ingest import WEB_KEYS, ingest_ads, ingest_csv_sources, ingest_web_events
+from tidemart.streaming.landing import AUDIT, CSV_READ_OPTIONS, WEB_RECORDS, land_ads, land_csv, land_web
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -239,3 +244,80 @@ QUERIES: dict[str, Query] = {
     "hash_bucket": hash_bucket_campaigns,
     "hash_sample": hash_sample_items,
 }
+
+
+def _ingest_folders(spark: SparkSession) -> tuple[str, str, str]:
+    folder = scratch_folder(spark)
+    return f"{folder}/landing", f"{folder}/bronze", f"{folder}/checkpoints"
+
+
+def ingest_csv_append(spark: SparkSession, directory: str) -> DataFrame:
+    """Orders as CSV in two landing runs, streamed in two starts: each start appends only its new files."""
+    orders = tables(spark, directory)["bronze_orders"]
+    landing, bronze, checkpoints = _ingest_folders(spark)
+    early = F.col("order_purchase_timestamp") < F.lit("1999-01-01").cast("timestamp")
+    for part in (orders.filter(early), orders.filter(~early)):
+        land_csv(part, landing, "orders")
+        ingest_csv_sources(spark, landing, bronze, checkpoints, ["orders"], CSV_READ_OPTIONS)
+    return spark.read.parquet(f"{bronze}/bronze_orders").drop(*AUDIT)
+
+
+def _land_web_in_two_runs(spark: SparkSession, directory: str) -> tuple[DataFrame, str]:
+    """First copies of all events, then the later copies; both runs are ingested by separate starts."""
+    raw = tables(spark, directory)["bronze_web_events"]
+    landing, bronze, checkpoints = _ingest_folders(spark)
+    updated = F.col("event_time") < F.col("ingestion_time")
+    web = raw
+    for run, part in (("run_1", raw.filter(~updated | updated.isNull())), ("run_2", raw.filter(updated))):
+        land_web(part, landing, run)
+        web = ingest_web_events(spark, landing, bronze, checkpoints)
+    return web, bronze
+
+
+def ingest_json_upsert_web(spark: SparkSession, directory: str) -> DataFrame:
+    web, _ = _land_web_in_two_runs(spark, directory)
+    return web.drop(*AUDIT)
+
+
+def ingest_late_update(spark: SparkSession, directory: str) -> DataFrame:
+    """Rows per batch of the web log, and how many of them are the current row of their key."""
+    _, bronze = _land_web_in_two_runs(spark, directory)
+    log = spark.read.parquet(f"{bronze}/bronze_web_events")
+    written = log.groupBy(F.col("batch_id").cast("int").alias("batch_id")).agg(F.count(F.lit(1)).alias("log_rows"))
+    current = keep_latest(log, WEB_KEYS, newest=("batch_id",)).groupBy(F.col("batch_id").cast("int").alias("batch_id"))
+    return written.join(current.agg(F.count(F.lit(1)).alias("current_rows")), "batch_id", "left")
+
+
+def ingest_json_upsert_ads(spark: SparkSession, directory: str) -> DataFrame:
+    ads = tables(spark, directory)["silver_ads_campaigns"]
+    landing, bronze, checkpoints = _ingest_folders(spark)
+    raw = ads.select(
+        F.col("campaign_date").alias("date"), "campaign_id", "campaign_name", "channel", "source", "medium",
+        "impressions", "clicks", "conversions", "cost", "currency",
+    )
+    land_ads(raw, landing, "run_1")
+    ingest_ads(spark, landing, bronze, checkpoints)
+    land_ads(raw.withColumn("cost", F.col("cost") + 1), landing, "run_2")
+    return ingest_ads(spark, landing, bronze, checkpoints).drop(*AUDIT)
+
+
+def sink_json_layout(spark: SparkSession, directory: str) -> DataFrame:
+    """Web events written as landing JSON and read back: rows per campaign, files within their size limit."""
+    landing, _, _ = _ingest_folders(spark)
+    land_web(tables(spark, directory)["bronze_web_events"], landing, "run_1")
+    back = spark.read.schema(WEB_EVENTS_JSON).json(f"{landing}/web_events/run_1")
+    files = back.groupBy("campaign_id", F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    return files.groupBy("campaign_id").agg(
+        F.sum("n").alias("row_count"), (F.max("n") <= WEB_RECORDS).alias("within_limit")
+    )
+
+
+QUERIES.update(
+    {
+        "ingest_csv_append": ingest_csv_append,
+        "ingest_json_upsert_web": ingest_json_upsert_web,
+        "ingest_json_upsert_ads": ingest_json_upsert_ads,
+        "ingest_late_update": ingest_late_update,
+        "sink_json_layout": sink_json_layout,
+    }
+)

@@ -31,9 +31,12 @@ class DriverTables:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         self.spark = spark
         self.directory = directory
+        self._read: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+        if name not in self._read:  # opening a file reads its schema
+            self._read[name] = self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+        return self._read[name]
 
     def bronze(self, name: str) -> DataFrame:
         return BRONZE[name](self)
