@@ -27,9 +27,10 @@ def measure_hot_keys(
 ) -> dict[str, dict[str, dict[int, int]]]:
     """Table -> column -> hash slot -> number of pieces, for slots with more than ``share`` of the table's rows.
 
-    One job scans only the key columns. It counts per hash slot, not per key, so tasks exchange at most ``SLOTS``
+    A first job counts rows, which parquet answers from its footers; tables of at most ``min_rows`` are done then.
+    For the others one job scans only the key columns. It counts per hash slot, not per key, so tasks exchange at most ``SLOTS``
     counters per column, and fewer than ``1 / share`` slots per column can pass the test: that bounds what reaches
-    the driver. NULL keys hash to one slot and are measured too. Below ``min_rows`` a slot is never hot.
+    the driver. NULL keys hash to one slot and are measured too. A slot of at most ``min_rows`` is never hot.
     """
 
     def slots(table: str, df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -37,7 +38,13 @@ def measure_hot_keys(
         return df.select(F.lit(table).alias("table"), F.inline(F.array(*marks)))
 
     found: dict[str, dict[str, dict[int, int]]] = {t: {c: {} for c in cs} for t, (_, cs) in tables.items()}
-    parts = [slots(table, df, columns) for table, (df, columns) in tables.items() if columns]
+    sizes = [
+        df.agg(F.lit(table).alias("table"), F.count(F.lit(1)).alias("n")) for table, (df, _) in tables.items()
+    ]
+    if not sizes:
+        return found
+    large = {row["table"] for row in reduce(DataFrame.unionByName, sizes).collect() if row["n"] > min_rows}
+    parts = [slots(table, df, columns) for table, (df, columns) in tables.items() if table in large]
     if not parts:
         return found
     counts = (

@@ -175,11 +175,14 @@ DATASETS: dict[str, Dataset] = {d.name: d for d in (*SILVER, *GOLD)}
 class Warehouse:
     """Datasets by name. ``bronze`` gives the raw table for a bronze name; everything else is built on demand.
 
-    ``saved`` tables replace their lazy definitions, so later datasets read files instead of recomputing.
+    A saved table replaces its lazy definition, so later datasets read files instead of recomputing. ``shared``
+    names tables to save in ``folder`` when they are first asked for, because several datasets read them.
     """
 
-    def __init__(self, bronze: Callable[[str], DataFrame]) -> None:
+    def __init__(self, bronze: Callable[[str], DataFrame], folder: str = "", shared: tuple[str, ...] = ()) -> None:
         self._bronze = bronze
+        self._folder = folder
+        self._shared = shared
         self._tables: dict[str, DataFrame] = {}
         self._saved: set[str] = set()
         self._hot: dict[str, HotKeys] = {}
@@ -187,6 +190,8 @@ class Warehouse:
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._tables:
             self._tables[name] = self.build(name) if name in DATASETS else self._bronze(name)
+            if name in self._shared:
+                self.save(self._folder, name)
         return self._tables[name]
 
     def build(self, name: str) -> DataFrame:
