@@ -1,5 +1,6 @@
 import json
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 
@@ -123,11 +124,11 @@ def test_batch_csv_and_json_files(spark, tmp_path):
 
 
 def test_scratch_folder_follows_the_cluster_setting(spark):
-    spark.conf.set("spark.checkpoint.dir", "/shared/checkpoints")
-    try:
-        assert scratch_folder(spark).startswith("/shared/checkpoints/tidemart-")
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+    settings = {"spark.checkpoint.dir": "hdfs:/shared/checkpoints/"}
+    cluster = SimpleNamespace(conf=settings)
+    assert scratch_folder(cluster).startswith("hdfs:/shared/checkpoints/tidemart-")
+    assert scratch_folder(cluster) != scratch_folder(cluster)
+    assert Path(scratch_folder(spark)).is_dir()
 
 
 def test_latest_of_log_needs_no_order(spark):

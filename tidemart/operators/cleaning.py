@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,7 +63,7 @@ def clean(raw: DataFrame, spec: CleanSpec) -> DataFrame:
     """Rows that pass every rule, the latest one per key."""
     required = [F.col(f.name).isNotNull() for f in spec.fields if f.required]
     rules = [F.expr(r) if isinstance(r, str) else r for r in spec.rules]
-    passed = reduce(DataFrame.filter, required + rules, tidy(raw, spec.fields))
+    passed = tidy(raw, spec.fields).filter(reduce(and_, required + rules))
     latest = keep_latest(passed, spec.key)
     derived = {name: F.expr(sql) for name, sql in spec.derived.items()}
     return stamp(latest.withColumns(derived) if derived else latest, spec.source)
