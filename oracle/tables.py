@@ -96,10 +96,11 @@ SELECT CASE WHEN o_orderkey % 60 = 59 THEN 'x' || o_orderkey ELSE CAST(o_orderke
  CASE WHEN o_orderkey % 6 = 1 THEN NULL ELSE CAST(o_orderkey % 12 AS INT) END AS payment_installments,
  CASE WHEN o_custkey % 10 = 7 THEN floor(o_totalprice / 100) / 100
   WHEN o_custkey % 10 = 8 THEN floor(o_totalprice / 200) / 100
-  WHEN o_orderkey % 3 = 0 AND items_grand_total IS NOT NULL
-  THEN CAST(CAST(items_grand_total AS DECIMAL(18,2)) AS DOUBLE) ELSE o_totalprice END AS payment_value,
+  WHEN o_orderkey % 3 = 0 AND item_total IS NOT NULL
+  THEN CAST(CAST(item_total AS DECIMAL(18,2)) AS DOUBLE) ELSE o_totalprice END AS payment_value,
  {ARRIVED} AS ingestion_time, 'payments' AS source_file
-FROM orders LEFT JOIN item_totals i ON CAST(o_orderkey AS VARCHAR) = i.order_id"""
+FROM orders LEFT JOIN (SELECT l_orderkey, sum(CAST(l_extendedprice + l_extendedprice * l_tax AS DECIMAL(18,4)))
+ AS item_total FROM lineitem GROUP BY l_orderkey) ON o_orderkey = l_orderkey"""
 
 TABLES["b_reviews"] = f"""
 SELECT 'r' || (o_orderkey - CASE WHEN o_orderkey % 10 = 1 THEN 1 ELSE 0 END) AS review_id,

@@ -1,16 +1,16 @@
-"""Declarative cleaning: typed projection, row rules, latest row per key, derived columns, lineage."""
+"""Declarative cleaning: typed projection, row rules, latest row per key, derived columns, lineage.
+
+Expressions are SQL text: a whole step is one call to Spark, however many columns it has.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
-from functools import reduce
-from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.functions import norm_text
 from tidemart.operators.latest import keep_latest
 
 AUDIT = {"ingestion_time": "timestamp", "source_file": "string", "source_api": "string"}
@@ -20,7 +20,8 @@ AUDIT = {"ingestion_time": "timestamp", "source_file": "string", "source_api": "
 class Field:
     """One output column. ``source`` is the raw name when it differs; ``kind`` is ``text`` or a Spark type.
 
-    Typed columns use ``try_cast``: a value that does not parse becomes NULL, and the row rules decide.
+    Text is trimmed, blank text becomes NULL unless ``blank_is_null`` is off, and ``fold`` is ``lower``, ``upper``
+    or ``keep``. Typed columns use ``try_cast``: a value that does not parse becomes NULL, and the row rules decide.
     """
 
     name: str
@@ -30,13 +31,15 @@ class Field:
     required: bool = False
     blank_is_null: bool = True
 
-    def column(self) -> Column:
-        raw = F.col(self.source or self.name)
+    def sql(self) -> str:
+        raw = f"`{self.source or self.name}`"
         if self.kind == "text":
-            value = norm_text(raw.cast("string"), self.fold, self.blank_is_null)
+            value = f"trim(cast({raw} AS string))"
+            value = f"nullif({value}, '')" if self.blank_is_null else value
+            value = value if self.fold == "keep" else f"{self.fold}({value})"
         else:
-            value = raw.try_cast(self.kind)
-        return value.alias(self.name)
+            value = f"try_cast({raw} AS {self.kind})"
+        return f"{value} AS `{self.name}`"
 
 
 @dataclass(frozen=True)
@@ -44,14 +47,19 @@ class CleanSpec:
     source: str
     key: tuple[str, ...]
     fields: tuple[Field, ...]
-    rules: tuple[Column | str, ...] = ()
+    rules: tuple[str, ...] = ()
     derived: Mapping[str, str] = field(default_factory=dict)
 
+    def accepts(self) -> str:
+        """Condition for a typed row to be kept."""
+        required = [f"`{f.name}` IS NOT NULL" for f in self.fields if f.required]
+        return " AND ".join([*required, *[f"({r})" for r in self.rules]])
+
 
 def tidy(raw: DataFrame, fields: tuple[Field, ...]) -> DataFrame:
     """Typed and normalised columns plus the audit columns the source has, in one projection."""
-    audit = [F.col(c).cast(t).alias(c) for c, t in AUDIT.items() if c in raw.columns]
-    return raw.select(*[f.column() for f in fields], *audit)
+    audit = [f"cast({c} AS {t}) AS {c}" for c, t in AUDIT.items() if c in raw.columns]
+    return raw.selectExpr(*[f.sql() for f in fields], *audit)
 
 
 def stamp(df: DataFrame, record_source: str, at: str = "silver_processed_at") -> DataFrame:
@@ -61,9 +69,6 @@ def stamp(df: DataFrame, record_source: str, at: str = "silver_processed_at") ->
 
 def clean(raw: DataFrame, spec: CleanSpec) -> DataFrame:
     """Rows that pass every rule, the latest one per key."""
-    required = [F.col(f.name).isNotNull() for f in spec.fields if f.required]
-    rules = [F.expr(r) if isinstance(r, str) else r for r in spec.rules]
-    passed = tidy(raw, spec.fields).filter(reduce(and_, required + rules))
-    latest = keep_latest(passed, spec.key)
-    derived = {name: F.expr(sql) for name, sql in spec.derived.items()}
-    return stamp(latest.withColumns(derived) if derived else latest, spec.source)
+    latest = keep_latest(tidy(raw, spec.fields).filter(spec.accepts()), spec.key)
+    derived = [f"{sql} AS `{name}`" for name, sql in spec.derived.items()]
+    return stamp(latest.selectExpr("*", *derived) if derived else latest, spec.source)

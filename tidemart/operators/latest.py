@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 
 def keep_latest(df: DataFrame, keys: Sequence[str], newest: Sequence[str] = ("ingestion_time",)) -> DataFrame:
@@ -16,6 +15,7 @@ def keep_latest(df: DataFrame, keys: Sequence[str], newest: Sequence[str] = ("in
     input still sends only one row per task.
     """
     rest = [c for c in df.columns if c not in keys and c not in newest]
-    order = [F.col(c).desc_nulls_last() for c in (*newest, *rest)]
-    window = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
+    order = ", ".join(f"`{c}` DESC NULLS LAST" for c in (*newest, *rest))
+    partition = ", ".join(f"`{c}`" for c in keys)
+    ranked = df.selectExpr("*", f"row_number() OVER (PARTITION BY {partition} ORDER BY {order}) AS _rank")
+    return ranked.filter("_rank = 1").drop("_rank")

@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.functions import norm_text
+from tidemart.functions import money_sum, norm_text
 from tidemart.plans.prep import rollup_ads_daily
 from tidemart.sources.campaigns import campaign_lookup
 
@@ -20,8 +20,7 @@ ARRIVED = "TIMESTAMP '2024-03-01 00:00:00'"
 
 def _select(df: DataFrame, source: str, **columns: str) -> DataFrame:
     columns.setdefault("ingestion_time", ARRIVED)
-    exprs = [F.expr(sql).alias(name) for name, sql in columns.items()]
-    return df.select(*exprs, F.lit(source).alias("source_file"))
+    return df.selectExpr(*[f"{sql} AS {name}" for name, sql in columns.items()], f"'{source}' AS source_file")
 
 
 class DriverTables:
@@ -104,17 +103,16 @@ class DriverTables:
         )
 
     def item_totals(self) -> DataFrame:
-        """Item value of each order, for payments that match: per key and line the row that cleaning keeps."""
-        from tidemart.operators.rollups import order_item_totals
-        from tidemart.plans.silver import clean_table
-
-        totals = order_item_totals(clean_table("silver_order_items", self.order_items()))
-        return totals.select(F.col("order_id").alias("total_of"), F.col("items_grand_total").alias("item_total"))
+        """Value of all raw item rows of each order: what a payment has to be to match, where no item is repeated."""
+        value = F.expr("l_extendedprice + l_extendedprice * l_tax")
+        return (
+            self.table("lineitem").groupBy(F.col("l_orderkey").alias("total_of")).agg(money_sum(value).alias("item_total"))
+        )
 
     def payments(self) -> DataFrame:
         orders = self.table("orders").withColumn("paid_for", F.col("o_orderkey").cast("string"))
         return _select(
-            orders.join(self.item_totals(), F.expr("paid_for = total_of"), "left"),
+            orders.join(self.item_totals(), F.expr("o_orderkey = total_of"), "left"),
             "payments",
             order_id="CASE WHEN o_orderkey % 60 = 59 THEN concat('x', paid_for) ELSE paid_for END",
             payment_sequential="1",
@@ -218,27 +216,23 @@ class DriverTables:
         folded = {c: norm_text(F.col(c), "lower") for c in ("event_type", "utm_source")}
         events = self.web_events().withColumns(folded)
         ads = rollup_ads_daily(events)
-        return ads.select(
+        return ads.selectExpr(
             "date",
-            _expr("campaign_id", "CASE WHEN campaign_id = 'cmp_006' THEN 'cmp_900 ' ELSE campaign_id END"),
+            "CASE WHEN campaign_id = 'cmp_006' THEN 'cmp_900 ' ELSE campaign_id END AS campaign_id",
             "campaign_name",
             "channel",
             "source",
             "medium",
-            _expr("impressions", "CASE WHEN day(date) = 13 THEN clicks - 1 ELSE impressions END"),
+            "CASE WHEN day(date) = 13 THEN clicks - 1 ELSE impressions END AS impressions",
             "clicks",
-            _expr("conversions", "CASE WHEN day(date) = 17 THEN clicks + 1 ELSE conversions END"),
+            "CASE WHEN day(date) = 17 THEN clicks + 1 ELSE conversions END AS conversions",
             "cost",
-            _expr("currency", "' usd'"),
-            _expr("ingestion_time", "cast(date_add(date, 1) AS timestamp)"),
-            F.lit("ads_api").alias("source_api"),
+            "' usd' AS currency",
+            "cast(date_add(date, 1) AS timestamp) AS ingestion_time",
+            "'ads_api' AS source_api",
         )
 
 
-def _expr(name: str, sql: str) -> Column:
-    return F.expr(sql).alias(name)
-
-
 BRONZE: dict[str, Callable[[DriverTables], DataFrame]] = {
     "bronze_customers": DriverTables.customers,
     "bronze_geolocation": DriverTables.geolocation,
