@@ -123,12 +123,12 @@ def test_batch_csv_and_json_files(spark, tmp_path):
     assert len(tasks) > 1  # one campaign is not one task
 
 
-def test_scratch_folder_follows_the_cluster_setting(spark):
+def test_scratch_folder_follows_the_cluster_setting():
     settings = {"spark.checkpoint.dir": "hdfs:/shared/checkpoints/"}
     cluster = SimpleNamespace(conf=settings)
     assert scratch_folder(cluster).startswith("hdfs:/shared/checkpoints/tidemart-")
     assert scratch_folder(cluster) != scratch_folder(cluster)
-    assert Path(scratch_folder(spark)).is_dir()
+    assert Path(scratch_folder(SimpleNamespace(conf={}))).is_dir()
 
 
 def test_latest_of_log_needs_no_order(spark):
