@@ -7,10 +7,31 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, simhash
+from . import bpe, exact_dedup, simhash, token_files, url_rules
 from .tables import table
 
 
+def vocabulary(name: str) -> str:
+    """Place of a public tokenizer's file on the machine that asks."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = url_rules.judged(table(spark, sf_dir, "pages"), url_rules.LISTED_RULES + url_rules.PATTERN_RULES)
+    return found.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = token_files.write_token_files(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=0)
+    return token_files.read_token_files(files)
+
+
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encoding_digests(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_distance=2)
     return found.select("doc_id", simhash.fingerprint_text().alias("fingerprint"), "component_id")
@@ -22,11 +43,34 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_url_rules": op4_url_rules,
+    "op5_token_files": op5_token_files,
+    "op6_bpe": op6_bpe,
     "op7_simhash": op7_simhash,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
+UNWANTED = "|".join(url_rules.UNWANTED_HOST_WORDS)
+
 ORACLES: dict[str, str] = {
+    "op4_url_rules": f"""
+        WITH p AS (
+            SELECT page_id, regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path,
+                   translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host
+            FROM pages),
+        r AS (
+            SELECT *, CASE WHEN ('.' || host) LIKE '%.example.org' AND path LIKE '/en/1%' THEN 'example.org/en/1'
+                           WHEN ('.' || host) LIKE '%.example.org' AND path LIKE '/es/%' THEN 'example.org/es/'
+                           WHEN ('.' || host) LIKE '%.com' AND path LIKE '/fr/%' THEN 'com/fr/'
+                           WHEN ('.' || host) LIKE '%.com' AND path LIKE '/de/%' THEN 'com/de/'
+                           WHEN ('.' || host) LIKE '%.org' AND path LIKE '/%' THEN 'org/' END AS rule
+            FROM p)
+        SELECT page_id, host, path, rule,
+               CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+                    WHEN regexp_matches(host, '(^|[^A-Za-z0-9])({UNWANTED})([^A-Za-z0-9]|$)') THEN 'block'
+                    ELSE 'allow' END AS verdict
+        FROM r""",
     "op10_exact_dedup": """
         WITH t AS (
             SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body
