@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, simhash, token_files, url_rules
+from . import bpe, exact_dedup, quality, simhash, token_files, toxicity, url_rules
 from .tables import table
 
 
+#: A text whose score reaches this is predicted toxic.
+TOXIC_FROM = 0.7
+
+
 def vocabulary(name: str) -> str:
     """Place of a public tokenizer's file on the machine that asks."""
     import public_tokenizers
@@ -18,6 +22,16 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def crc_of_id(parts: int) -> F.Column:
+    """CRC-32 of the doc_id as text, modulo ``parts``; a null id counts as the text ''."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % parts
+
+
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality.judged(docs, quality.trusted_ids(labels)).select("doc_id", "__q.*")
+
+
 def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = url_rules.judged(table(spark, sf_dir, "pages"), url_rules.LISTED_RULES + url_rules.PATTERN_RULES)
     return found.select("page_id", "host", "path", "rule", "verdict")
@@ -37,16 +51,26 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_text().alias("fingerprint"), "component_id")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.filter(crc_of_id(3) != 1))
+    found = toxicity.scored(docs, model)
+    predicted = (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted")
+    return found.select("doc_id", (crc_of_id(3) == 1).alias("held_out"), "score", predicted)
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality_rules": op2_quality_rules,
     "op4_url_rules": op4_url_rules,
     "op5_token_files": op5_token_files,
     "op6_bpe": op6_bpe,
     "op7_simhash": op7_simhash,
+    "op9_toxicity": op9_toxicity,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
