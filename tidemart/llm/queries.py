@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, quality, simhash, token_files, toxicity, url_rules
+from . import bpe, exact_dedup, kneser_ney, quality, simhash, token_files, toxicity, url_rules
 from .tables import table
 
 
@@ -27,6 +27,15 @@ def crc_of_id(parts: int) -> F.Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % parts
 
 
+def op1_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_of_id(10) == 0
+    model = kneser_ney.build(docs.filter(~held_out))
+    found = kneser_ney.scored(docs, model)
+    trained = F.lit(model.tokens).cast("long").alias("train_tokens")
+    return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", trained, "base_score", "score")
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return quality.judged(docs, quality.trusted_ids(labels)).select("doc_id", "__q.*")
@@ -65,6 +74,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_model": op1_language_model,
     "op2_quality_rules": op2_quality_rules,
     "op4_url_rules": op4_url_rules,
     "op5_token_files": op5_token_files,
