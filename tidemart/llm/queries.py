@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, kneser_ney, quality, simhash, token_files, toxicity, url_rules
-from .tables import table
+from . import bpe, exact_dedup, kneser_ney, mixing, quality, simhash, token_files, toxicity, url_rules
+from .tables import saved, table
 
 
 #: A text whose score reaches this is predicted toxic.
@@ -41,6 +41,11 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(docs, quality.trusted_ids(labels)).select("doc_id", "__q.*")
 
 
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    units = saved(mixing.units(table(spark, sf_dir, "documents")), "mixing-units")
+    return mixing.mixture(units, saved(mixing.plan(units), "mixing-plan"))
+
+
 def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = url_rules.judged(table(spark, sf_dir, "pages"), url_rules.LISTED_RULES + url_rules.PATTERN_RULES)
     return found.select("page_id", "host", "path", "rule", "verdict")
@@ -76,6 +81,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_model": op1_language_model,
     "op2_quality_rules": op2_quality_rules,
+    "op3_source_mixing": op3_source_mixing,
     "op4_url_rules": op4_url_rules,
     "op5_token_files": op5_token_files,
     "op6_bpe": op6_bpe,
