@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, kneser_ney, mixing, quality, simhash, token_files, toxicity, url_rules
+from . import bpe, exact_dedup, kneser_ney, mixing, pii, quality, simhash, token_files, toxicity, url_rules
 from .tables import saved, table
 
 
@@ -65,6 +65,11 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_text().alias("fingerprint"), "component_id")
 
 
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.found(docs, pii.fit(docs))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = toxicity.fit(docs, labels.filter(crc_of_id(3) != 1))
@@ -86,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_files": op5_token_files,
     "op6_bpe": op6_bpe,
     "op7_simhash": op7_simhash,
+    "op8_personal_data": op8_personal_data,
     "op9_toxicity": op9_toxicity,
     "op10_exact_dedup": op10_exact_dedup,
 }
