@@ -148,8 +148,10 @@ class TokenFile:
 class LibraryEncoder:
     """Ids by the tokenizers library, as UTF-8 text to little-endian unsigned 32-bit integers."""
 
-    #: White space of another shape than one blank or line feed between other characters.
-    ODD_SPACE = re.compile(r"\s\s|^\s|\s$|[^\S \n]|<\|")
+    #: White space other than blank and line feed; pairs of white space; the start of a special token.
+    OTHER_SPACE = re.compile(r"[^\S \n]")
+    UNSAFE = ("  ", "\n\n", " \n", "\n ", "<|", "\0")
+    STOPS = ".,;:!?"
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -158,25 +160,47 @@ class LibraryEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.known: dict[str, bytes] = {}
+        (self.line_feed,) = self.library.encode("\n", add_special_tokens=False).ids
 
-    def _ask(self, texts: list[str]) -> list[bytes]:
+    def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _runs(self, runs: list[str]) -> list[bytes]:
+        """Each run has no line feed inside, so one text of all runs with line feeds between them gives the same ids."""
+        if not runs:
+            return []
+        ids = np.array(self.library.encode_batch_fast(["\n".join(runs)], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.append(np.flatnonzero(ids == self.line_feed), len(ids)).tolist()
+        starts = [0, *(e + 1 for e in ends[:-1])]
+        raw = ids.tobytes()
+        return [raw[4 * a : 4 * b] for a, b in zip(starts, ends)]
+
+    def _learn(self, missing: list[str]) -> None:
+        """Encodes new runs; the stops after a letter are runs of their own, so that a word is learnt once."""
+        known, parted = self.known, []
+        for run in missing:
+            stem = run.rstrip(self.STOPS)
+            if len(stem) < len(run) and stem and stem[-1].isalpha():
+                parted.append((run, stem, run[len(stem) :]))
+        whole = {r for r, _, _ in parted}
+        fresh = list({p for _, *two in parted for p in two if p not in known}.union(r for r in missing if r not in whole and r != "\n"))
+        known.update(zip(fresh, self._runs(fresh)))
+        known["\n"] = np.array([self.line_feed], "<u4").tobytes()
+        known.update([(run, known[stem] + known[stops]) for run, stem, stops in parted])
+
     def encode(self, texts: list[str]) -> list[bytes]:
         known = self.known
         if len(known) >= REMEMBERED:
             known.clear()
         runs: list[list[str] | None] = []
         for text in texts:
-            if not text or self.ODD_SPACE.search(text):
+            if not text or text[0].isspace() or text[-1].isspace() or any(x in text for x in self.UNSAFE) or self.OTHER_SPACE.search(text):
                 runs.append(None)
             else:
                 # "\n" is a run of its own; a blank goes with the run after it
-                pieces = text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0") if "\0" not in text else None
-                runs.append(pieces)
-        missing = list({p for r in runs if r for p in r if p not in known})
-        known.update(zip(missing, self._ask(missing)))
-        whole = iter(self._ask([t for t, r in zip(texts, runs) if r is None]))
+                runs.append(text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0"))
+        self._learn(list({p for r in runs if r for p in r if p not in known}))
+        whole = iter(self._whole([t for t, r in zip(texts, runs) if r is None]))
         return [next(whole) if r is None else b"".join(map(known.__getitem__, r)) for r in runs]
 
 
