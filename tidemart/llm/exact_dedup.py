@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 from pyspark.sql.window import Window
 
-from .tables import saved, texts_of
+from .tables import rows_that_stay, saved, texts_of
 
 COUNTERS = 1023
 
@@ -100,9 +100,5 @@ def digest_of(text: pd.Series) -> pd.Series:
 
 def without_exact_duplicates(docs: DataFrame, k: int = COUNTERS) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns. Rows with equal doc_id and equal text become one."""
-    stay = exact_duplicates(docs, k).filter("kept").select(F.col("doc_id").alias("_stay_id"), F.col("digest").alias("_stay_digest"))
-    marked = docs.withColumns({"_own_id": F.col("doc_id").cast("long"), "_own_digest": digest_of(F.col("text").cast("string"))})
-    joined = marked.join(stay, F.col("_own_id").eqNullSafe(F.col("_stay_id")) & (F.col("_own_digest") == F.col("_stay_digest")), "left_semi")
-    same = Window.partitionBy("_own_id", "_own_digest").orderBy("_own_digest")
-    first = joined.withColumn("_nth", F.row_number().over(same)).filter("_nth = 1")
-    return first.select(*[first[c] for c in docs.columns])
+    stay = exact_duplicates(docs, k).filter("kept").select("doc_id", F.col("digest").alias("mark"))
+    return rows_that_stay(docs, digest_of(F.col("text").cast("string")), stay)

@@ -25,13 +25,15 @@ from functools import partial
 from itertools import combinations, repeat
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from .components import SALT, smallest_reachable
-from .tables import saved, texts_of
+from .tables import rows_that_stay, saved, texts_of
 
 BITS = 64
 SEED = 42
@@ -257,5 +259,18 @@ def _with_component(marked: DataFrame, named: DataFrame) -> DataFrame:
     return by_map.select("doc_id", "fp", "component_id").union(rest.select("doc_id", "fp", "component_id"))
 
 
+def without_near_duplicates(docs: DataFrame, shingle: int = 3, max_distance: int = 2) -> DataFrame:
+    """One row of ``docs`` per component, with its columns: the one with the smallest doc_id. A component whose rows
+    have no id keeps one row of each fingerprint."""
+
+    @F.pandas_udf(LongType())
+    def mark(text: pd.Series) -> pd.Series:
+        return pd.Series([fingerprint(t, shingle) for t in texts_of(pa.Array.from_pandas(text, pa.large_string()))], dtype="int64")
+
+    marked = near_duplicates(docs, shingle, max_distance)
+    stay = marked.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", F.col("fp").alias("mark"))
+    return rows_that_stay(docs, mark(F.col("text").cast("string")), stay)
+
+
 def fingerprint_text() -> F.Column:
     return F.lower(F.lpad(F.hex("fp"), 16, "0"))

@@ -10,6 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: What separates words: space, tab, line feed, vertical tab, form feed, carriage return; bytes.split() cuts at the same.
@@ -57,3 +58,14 @@ def texts_of(column: pa.Array) -> Iterator[bytes]:
 
 def batch_of(schema: pa.Schema, columns: Iterable) -> pa.RecordBatch:
     return pa.record_batch([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)], schema)
+
+
+def rows_that_stay(docs: DataFrame, mark, stay: DataFrame) -> DataFrame:
+    """Rows of ``docs``, with their columns, whose (doc_id, mark of the text) is in ``stay`` (doc_id, mark); of rows that
+    agree in both, one. Texts are shuffled once, by id and mark."""
+    stay = stay.select(F.col("doc_id").alias("__stay_id"), F.col("mark").alias("__stay_mark"))
+    own = docs.withColumns({"__own_id": F.col("doc_id").cast("long"), "__own_mark": mark})
+    same = F.col("__own_id").eqNullSafe(F.col("__stay_id")) & (F.col("__own_mark") == F.col("__stay_mark"))
+    order = Window.partitionBy("__own_id", "__own_mark").orderBy("__own_mark")
+    first = own.join(stay, same, "left_semi").withColumn("__nth", F.row_number().over(order)).filter("__nth = 1")
+    return first.select(*[first[c] for c in docs.columns])
