@@ -95,7 +95,7 @@ def exact_duplicates(docs: DataFrame, k: int = COUNTERS) -> DataFrame:
 @F.pandas_udf(BinaryType())
 def digest_of(text: pd.Series) -> pd.Series:
     """SHA-256 of each text after lower-casing A-Z; null is empty."""
-    return pd.Series([sha256(t).digest() for t in texts_of(pc.ascii_lower(pa.Array.from_pandas(text, pa.large_string())))])
+    return pd.Series([sha256(t).digest() for t in texts_of(pc.ascii_lower(pa.array(text.tolist(), pa.large_string(), from_pandas=True)))])
 
 
 def without_exact_duplicates(docs: DataFrame, k: int = COUNTERS) -> DataFrame:

@@ -127,5 +127,6 @@ def judged(docs: DataFrame, trusted: DataFrame, least_ratio: float = LEAST_RATIO
 
 def good_documents(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept, with their columns."""
-    found = judged(docs, trusted)
-    return found.filter("__q.kept").select(*docs.columns)
+    # The row number keeps the filter above the projections: moved below, it would repeat their expressions many times.
+    found = judged(docs, trusted).withColumn("__q_row", F.monotonically_increasing_id())
+    return found.filter("__q.kept AND __q_row >= 0").select(*docs.columns)

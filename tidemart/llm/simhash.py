@@ -265,7 +265,7 @@ def without_near_duplicates(docs: DataFrame, shingle: int = 3, max_distance: int
 
     @F.pandas_udf(LongType())
     def mark(text: pd.Series) -> pd.Series:
-        return pd.Series([fingerprint(t, shingle) for t in texts_of(pa.Array.from_pandas(text, pa.large_string()))], dtype="int64")
+        return pd.Series([fingerprint(t, shingle) for t in texts_of(pa.array(text.tolist(), pa.large_string(), from_pandas=True))], dtype="int64")
 
     marked = near_duplicates(docs, shingle, max_distance)
     stay = marked.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", F.col("fp").alias("mark"))
