@@ -39,8 +39,9 @@ CHECKS = (
 
 FACT_ORDERS = "SELECT * EXCLUDE (zip_code_prefix) FROM f_orders"
 
-ONE_PLACE = """SELECT * EXCLUDE (zip_code_prefix, has_customer) FROM f_orders
+ONE_PLACE_ROWS = """SELECT * FROM f_orders
 QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY place_city NULLS FIRST, place_state NULLS FIRST) = 1"""
+ONE_PLACE = f"SELECT * EXCLUDE (zip_code_prefix, has_customer) FROM ({ONE_PLACE_ROWS})"
 
 FACT_ITEMS = """
 SELECT i.order_id, order_item_id, CAST(strftime(order_purchase_date, '%Y%m%d') AS INT) AS order_date_key,
@@ -85,7 +86,7 @@ FROM m_sales"""
 
 # Averages of cents are rounded half up in whole numbers.
 MART_CUSTOMER = """
-SELECT c.customer_id, customer_unique_id, customer_zip_code_prefix, customer_city, customer_state,
+SELECT g.place_city, g.place_state, c.customer_id, customer_unique_id, customer_zip_code_prefix, customer_city, customer_state,
  coalesce(total_orders, 0) AS total_orders, coalesce(CAST(total_revenue AS DOUBLE), 0.0) AS total_revenue,
  coalesce(CAST((CAST(total_revenue * 100 AS BIGINT) * 2 + n) // (2 * n) AS DOUBLE) / 100, 0.0) AS avg_order_value,
  CAST(coalesce(delivered_order_count, 0) AS BIGINT) AS delivered_order_count,
@@ -95,7 +96,7 @@ SELECT c.customer_id, customer_unique_id, customer_zip_code_prefix, customer_cit
  CASE WHEN total_revenue >= 500 THEN 'high_value' WHEN total_revenue >= 200 THEN 'mid_value'
   WHEN total_revenue > 0 THEN 'low_value' ELSE 'no_purchase' END AS customer_segment
 FROM s_customers c
-LEFT JOIN (SELECT customer_id, place_city, place_state, count(DISTINCT order_id) AS total_orders,
+LEFT JOIN (SELECT customer_id, place_city AS city, place_state AS state, count(DISTINCT order_id) AS total_orders,
  sum(payment_total) AS total_revenue, count(*) AS n, sum(is_delivered) AS delivered_order_count,
  sum(is_canceled) AS canceled_order_count, min(order_date_key) AS first_order_date_key,
  max(order_date_key) AS last_order_date_key FROM f_orders WHERE has_customer GROUP BY 1, 2, 3) m
@@ -103,7 +104,13 @@ LEFT JOIN (SELECT customer_id, place_city, place_state, count(DISTINCT order_id)
 LEFT JOIN (SELECT customer_id, avg(review_score) AS avg_review_score, count(review_id) AS review_count
  FROM s_orders o LEFT JOIN s_reviews r ON o.order_id = r.order_id GROUP BY customer_id) r
  ON c.customer_id = r.customer_id
-LEFT JOIN geo_of_zip ON customer_zip_code_prefix = zip_code_prefix"""
+LEFT JOIN geo_of_zip g ON customer_zip_code_prefix = g.zip_code_prefix"""
+
+ONE_GEO = """(SELECT * FROM geo_of_zip QUALIFY row_number() OVER (PARTITION BY zip_code_prefix
+ ORDER BY place_city NULLS FIRST, place_state NULLS FIRST) = 1)"""
+MART_CUSTOMER_ONE_PLACE = MART_CUSTOMER.replace("FROM f_orders WHERE", f"FROM ({ONE_PLACE_ROWS}) WHERE").replace(
+    "LEFT JOIN geo_of_zip g", f"LEFT JOIN {ONE_GEO} g"
+)
 
 KEYS = " UNION ALL ".join(
     f"SELECT '{name}' AS dimension, count(*) AS row_count, count(*) AS key_count FROM {table}"
@@ -160,6 +167,29 @@ LATEST_WEB = f"""SELECT * FROM b_web
 QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY coalesce(event_time < ingestion_time, false) DESC, {WEB_ORDER}) = 1"""
 WEB_COPIES = "SELECT event_id, coalesce(event_time < ingestion_time, false) AS is_late FROM b_web"
 
+# Columns of the nine CSV sources as they land.
+CSV_TABLES = {
+    "customers": ("b_customers", "customer_id customer_unique_id customer_zip_code_prefix customer_city customer_state"),
+    "geolocation": ("b_geolocation", "geolocation_zip_code_prefix geolocation_lat geolocation_lng geolocation_city geolocation_state"),
+    "orders": ("b_orders", "order_id customer_id order_status order_purchase_timestamp order_approved_at order_delivered_carrier_date order_delivered_customer_date order_estimated_delivery_date"),
+    "order_items": ("b_order_items", "order_id order_item_id product_id seller_id shipping_limit_date price freight_value"),
+    "payments": ("b_payments", "order_id payment_sequential payment_type payment_installments payment_value"),
+    "reviews": ("b_reviews", "review_id order_id review_score review_comment_title review_comment_message review_creation_date review_answer_timestamp"),
+    "products": ("b_products", "product_id product_category_name product_name_lenght product_description_lenght product_photos_qty product_weight_g product_length_cm product_height_cm product_width_cm"),
+    "sellers": ("b_sellers", "seller_id seller_zip_code_prefix seller_city seller_state"),
+    "category_translation": ("b_categories", "product_category_name product_category_name_english"),
+}
+
+
+def csv_summary() -> str:
+    return " UNION ALL ".join(
+        f"""SELECT '{source}' AS source, (SELECT count(*) FROM {table}) AS row_count, '{c}' AS column_name,
+ count({c}) AS "values", count(DISTINCT {c}) AS distinct_values FROM {table}"""
+        for source, (table, columns) in CSV_TABLES.items()
+        for c in columns.split()
+    )
+
+
 FINAL: dict[str, str] = {
     "clean_categories": "SELECT * FROM s_categories",
     "clean_customers": "SELECT * FROM s_customers",
@@ -210,7 +240,7 @@ FROM (SELECT order_purchase_date AS d FROM s_orders UNION SELECT event_date FROM
     "fact_orders_one_place": ONE_PLACE,
     "fact_order_items": FACT_ITEMS,
     "fact_logistics": LOGISTICS,
-    "fact_spend": "SELECT * FROM f_spend",
+    "fact_spend": "SELECT *, campaign_id IN (SELECT campaign_id FROM d_campaign) AS has_campaign FROM f_spend",
     "fact_funnel": "SELECT * FROM f_funnel",
     "mart_sales_marketing": "SELECT * FROM m_sales",
     "mart_counted_once": sales_marketing("funnel_once", "attributed_once"),
@@ -224,8 +254,22 @@ FROM (SELECT order_purchase_date AS d FROM s_orders UNION SELECT event_date FROM
     "prep_labels": LABELS,
     "ingest_csv_append": "SELECT * EXCLUDE (ingestion_time, source_file) FROM b_orders",
     "ingest_json_upsert_web": f"SELECT * EXCLUDE (ingestion_time, source_file) FROM ({LATEST_WEB})",
-    "ingest_json_upsert_ads": """SELECT campaign_date AS date, campaign_id, campaign_name, channel, source, medium,
- impressions, clicks, conversions, cost + 1 AS cost, currency FROM s_ads""",
+    "ingest_json_upsert_web_at_once": f"SELECT * EXCLUDE (ingestion_time, source_file) FROM ({LATEST_WEB})",
+    "ingest_json_upsert_ads": """SELECT * EXCLUDE (ingestion_time, source_api) REPLACE (cost + 1 AS cost)
+FROM b_ads WHERE date IS NOT NULL AND campaign_id IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY date, campaign_id ORDER BY campaign_name DESC NULLS LAST,
+ channel DESC NULLS LAST, source DESC NULLS LAST, medium DESC NULLS LAST, impressions DESC NULLS LAST,
+ clicks DESC NULLS LAST, conversions DESC NULLS LAST, cost DESC NULLS LAST, currency DESC NULLS LAST) = 1""",
+    "ingest_csv_all": csv_summary(),
+    "read_csv_all": csv_summary(),
+    "prep_campaign_days": """SELECT CAST(event_time AS DATE) AS date, campaign_id, utm_campaign, utm_source, utm_medium,
+ count(*) FILTER (event_type = 'view_product') AS views, count(*) FILTER (event_type = 'add_to_cart') AS adds,
+ count(*) FILTER (event_type = 'purchase') AS conversions FROM s_web GROUP BY 1, 2, 3, 4, 5""",
+    "hash_bucket": """SELECT product_category_name_english, count(*) AS product_count, 1 AS bucket_count, true AS in_range
+FROM s_products_enriched GROUP BY 1""",
+    "hash_sample": f"""SELECT CAST(least(count(*), 1500) AS BIGINT) AS sample_rows,
+ CAST(least(count(*), 1500) AS BIGINT) AS known_rows FROM ({BASE})""",
+    "mart_customer_one_place": MART_CUSTOMER_ONE_PLACE,
     "ingest_late_update": f"""SELECT 0 AS batch_id, count(*) AS log_rows, count(*) FILTER (NOT late) AS current_rows
 FROM (SELECT max(is_late) AS late FROM ({WEB_COPIES}) GROUP BY event_id HAVING NOT min(is_late))
 UNION ALL SELECT 1, count(DISTINCT event_id), count(DISTINCT event_id) FROM ({WEB_COPIES}) WHERE is_late""",
@@ -234,5 +278,38 @@ GROUP BY campaign_id""",
 }
 
 
+# The tables a row came from.
+RECORD_SOURCES = {
+    "clean_categories": "bronze_category_translation",
+    "clean_customers": "bronze_customers",
+    "clean_geolocation": "bronze_geolocation",
+    "clean_orders": "bronze_orders",
+    "clean_order_items": "bronze_order_items",
+    "clean_payments": "bronze_payments",
+    "clean_reviews": "bronze_reviews",
+    "clean_products": "bronze_products",
+    "clean_sellers": "bronze_sellers",
+    "clean_web_events": "bronze_web_events",
+    "clean_ads": "bronze_ads_campaigns",
+    "products_enriched": "silver_products + silver_category_translation",
+    "bridge_identity": "silver_web_events + silver_customers",
+    "bridge_campaign": "silver_web_events + silver_ads_campaigns",
+    "quarantine_web": "bronze_web_events",
+    "quarantine_web_strict": "bronze_web_events",
+    "reconcile_orders": "silver_order_items + silver_order_payments",
+}
+FINAL |= {name: f"SELECT *, '{source}' AS record_source FROM ({FINAL[name]})" for name, source in RECORD_SOURCES.items()}
+
+# Splitting keys changes no result.
+FINAL |= {
+    f"split_{name}": FINAL[same]
+    for name, same in (
+        ("fact_orders", "fact_orders"), ("fact_order_items", "fact_order_items"), ("fact_logistics", "fact_logistics"),
+        ("fact_funnel", "fact_funnel"), ("bridge_identity", "bridge_identity"), ("item_base", "prep_item_base"),
+        ("referential_issues", "referential_issues"), ("mart_customer", "mart_customer"),
+    )
+}
+
+
 def oracle_statements() -> dict[str, str]:
     return {name: statement(sql) for name, sql in FINAL.items()}

@@ -16,7 +16,8 @@ def con():
 
 def test_every_sql_has_a_query():
     assert set(SQL) <= set(contract.queries())
-    assert set(contract.queries()) - set(SQL) == {"hash_bucket", "hash_sample"}
+    without = set(contract.queries()) - set(SQL)
+    assert all(name.startswith("op") or name == "pipeline" for name in without)
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

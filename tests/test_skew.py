@@ -23,7 +23,7 @@ def right(spark):
 
 @pytest.fixture(scope="module")
 def slots(left):
-    return measure_hot_keys({"t": (left, ["k", "id"])}, share=1 / 64, min_rows=10)["t"]
+    return measure_hot_keys({"t": (left, ["k", "id"])}, share=1 / 64)["t"]
 
 
 def test_measure_finds_only_hot_slots(slots):
@@ -31,8 +31,9 @@ def test_measure_finds_only_hot_slots(slots):
     assert sorted(slots["k"].values()) == [11, 22]
 
 
-def test_small_tables_are_never_hot(left):
-    assert measure_hot_keys({"t": (left, ["k"])}) == {"t": {"k": {}}}
+def test_size_plays_no_part(left):
+    few = left.limit(60)
+    assert measure_hot_keys({"t": (few, ["k"])}, share=1 / 8)["t"]["k"]
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
@@ -54,8 +55,9 @@ def test_full_join_is_refused(left, right, slots):
 
 
 def test_key_types_must_agree(left, slots):
-    with pytest.raises(TypeError):
-        spread_join(left, left.select(F.lit(1).alias("k")), "k", slots["k"], ["id"])
+    for measured in (slots["k"], {}, None):
+        with pytest.raises(TypeError):
+            spread_join(left, left.select(F.lit(1).alias("k")), "k", measured, ["id"])
 
 
 def test_facts_are_the_same_with_hot_keys(warehouse):
@@ -63,7 +65,7 @@ def test_facts_are_the_same_with_hot_keys(warehouse):
     from tidemart.plans.warehouse import DATASETS, LOOKUP_COLUMNS
 
     tables = {n: (warehouse[n], LOOKUP_COLUMNS[n]) for n in LOOKUP_COLUMNS}
-    hot = measure_hot_keys(tables, share=1 / 512, min_rows=0)
+    hot = measure_hot_keys(tables, share=1 / 512)
     assert any(s for columns in hot.values() for s in columns.values())
     for name in ("fact_order_items", "fact_web_funnel_daily", "bridge_identity", "silver_products_enriched"):
         d = DATASETS[name]

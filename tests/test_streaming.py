@@ -123,12 +123,57 @@ def test_batch_csv_and_json_files(spark, tmp_path):
     assert len(tasks) > 1  # one campaign is not one task
 
 
+def session(master, **settings):
+    return SimpleNamespace(conf=settings, sparkContext=SimpleNamespace(master=master))
+
+
 def test_scratch_folder_follows_the_cluster_setting():
-    settings = {"spark.checkpoint.dir": "hdfs:/shared/checkpoints/"}
-    cluster = SimpleNamespace(conf=settings)
+    cluster = session("yarn", **{"spark.checkpoint.dir": "hdfs:/shared/checkpoints/"})
     assert scratch_folder(cluster).startswith("hdfs:/shared/checkpoints/tidemart-")
     assert scratch_folder(cluster) != scratch_folder(cluster)
-    assert Path(scratch_folder(SimpleNamespace(conf={}))).is_dir()
+    assert Path(scratch_folder(session("local[8]"))).is_dir()
+    for master in ("yarn", "local-cluster[2,1,1024]", "k8s://host"):
+        with pytest.raises(ValueError):
+            scratch_folder(session(master))
+
+
+def test_later_run_wins_within_one_batch(spark, folders):
+    write(f"{folders[0]}/web_events/run_1/a.json", event("e1", 9))
+    write(f"{folders[0]}/web_events/run_2/a.json", event("e1", 1))
+    assert prices(ingest_web_events(spark, *folders)) == {"e1": 1.0}
+
+
+def test_bounded_batches_and_unreadable_lines(spark, folders):
+    for run in range(4):
+        write(f"{folders[0]}/web_events/run_{run}/a.json", event("e1", run), "{broken")
+    web = ingest_web_events(spark, *folders, options={"maxFilesPerTrigger": "1"})
+    assert prices(web) == {"e1": 3.0}
+    log = spark.read.parquet(f"{folders[1]}/bronze_web_events")
+    assert log.select("batch_id").distinct().count() == 4
+    bad = spark.read.parquet(f"{folders[1]}/bronze_web_events_unreadable")
+    assert [r["_corrupt_record"] for r in bad.collect()] == ["{broken"] * 4
+
+
+def test_csv_goes_by_header_names(spark, folders, tmp_path, caplog):
+    schema = "id string, n int, city string"
+    write(str(tmp_path / "in" / "a.csv"), "city,new,id,n", "X,?,s1,01001")
+    df = read_csv(spark, str(tmp_path / "in"), schema)
+    assert df.columns == ["id", "n", "city"] and [tuple(r) for r in df.collect()] == [("s1", 1001, "X")]
+    assert "new column new" in caplog.text
+    write(str(tmp_path / "less" / "a.csv"), "n,id", "5,s1")
+    assert [tuple(r) for r in read_csv(spark, str(tmp_path / "less"), schema).collect()] == [("s1", 5, None)]
+    write(f"{folders[0]}/sellers/a.csv", "seller_state,seller_id,seller_zip_code_prefix,seller_city", "SP,s1,7,X", "SP,s2,x7,Y")
+    ingest_csv_sources(spark, *folders, sources=["sellers"])
+    kept = bronze_reader(spark, folders[1])("bronze_sellers").collect()
+    assert [(r.seller_id, r.seller_zip_code_prefix, r.seller_city, r.seller_state) for r in kept] == [("s1", 7, "X", "SP")]
+    assert spark.read.parquet(f"{folders[1]}/bronze_sellers").count() == 2  # the unreadable row keeps its text
+
+
+def test_files_with_another_header_fail(spark, tmp_path):
+    write(str(tmp_path / "in" / "a.csv"), "id,n", "s1,1")
+    write(str(tmp_path / "in" / "b.csv"), "n,id", "1,s1")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, str(tmp_path / "in"), "id string, n int").collect()
 
 
 def test_latest_of_log_needs_no_order(spark):

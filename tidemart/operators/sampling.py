@@ -7,8 +7,23 @@ from pyspark.sql import functions as F
 
 # Fixed value: rows taken per run by the source generator.
 DEFAULT_SAMPLE = 1500
+# Slots of the histogram of hash values.
+SLOTS = 4096
 
 
 def hash_sample(df: DataFrame, keys: list[str], rows: int = DEFAULT_SAMPLE) -> DataFrame:
-    """``rows`` pseudo-random rows, the same ones on every run. Each task keeps only its own best ``rows``."""
-    return df.orderBy(F.xxhash64(*keys), *keys).limit(rows)
+    """``rows`` pseudo-random rows, the same ones on every run: those with the smallest hashes of ``keys``.
+
+    A histogram of the hashes (SLOTS counts) says below which slot border at least ``rows`` rows lie. Only those
+    few are then put in order, and the remaining columns break ties between repeated keys.
+    """
+    slot = F.shiftright(F.xxhash64(*keys), 52) + SLOTS // 2
+    counts = df.groupBy(slot.alias("slot")).agg(F.count(F.lit(1)).alias("n")).collect()
+    border, reached = SLOTS, 0
+    for row in sorted(counts):
+        reached += row["n"]
+        if reached >= rows:
+            border = row["slot"]
+            break
+    rest = [c for c in df.columns if c not in keys]
+    return df.filter(slot <= border).orderBy(F.xxhash64(*keys), *keys, *rest).limit(rows)

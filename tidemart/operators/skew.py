@@ -23,14 +23,13 @@ def _slot(key: Column) -> Column:
 
 
 def measure_hot_keys(
-    tables: Mapping[str, tuple[DataFrame, Sequence[str]]], share: float = 1 / 256, min_rows: int = 1_000_000
+    tables: Mapping[str, tuple[DataFrame, Sequence[str]]], share: float = 1 / 256
 ) -> dict[str, dict[str, dict[int, int]]]:
     """Table -> column -> hash slot -> number of pieces, for slots with more than ``share`` of the table's rows.
 
-    A first job counts rows, which parquet answers from its footers; tables of at most ``min_rows`` are done then.
-    For the others one job scans only the key columns. It counts per hash slot, not per key, so tasks exchange at most ``SLOTS``
-    counters per column, and fewer than ``1 / share`` slots per column can pass the test: that bounds what reaches
-    the driver. NULL keys hash to one slot and are measured too. A slot of at most ``min_rows`` is never hot.
+    One job scans the key columns. It counts per hash slot, not per key, so tasks exchange at most ``SLOTS`` counters
+    per column, and fewer than ``1 / share`` slots per column can pass the test: that bounds what reaches the driver.
+    NULL keys hash to one slot and are measured too. Tables of any size are treated alike.
     """
 
     def slots(table: str, df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -38,13 +37,7 @@ def measure_hot_keys(
         return df.select(F.lit(table).alias("table"), F.inline(F.array(*marks)))
 
     found: dict[str, dict[str, dict[int, int]]] = {t: {c: {} for c in cs} for t, (_, cs) in tables.items()}
-    sizes = [
-        df.agg(F.lit(table).alias("table"), F.count(F.lit(1)).alias("n")) for table, (df, _) in tables.items()
-    ]
-    if not sizes:
-        return found
-    large = {row["table"] for row in reduce(DataFrame.unionByName, sizes).collect() if row["n"] > min_rows}
-    parts = [slots(table, df, columns) for table, (df, columns) in tables.items() if table in large]
+    parts = [slots(table, df, columns) for table, (df, columns) in tables.items()]
     if not parts:
         return found
     counts = (
@@ -52,9 +45,10 @@ def measure_hot_keys(
     )
     total = F.sum("n").over(Window.partitionBy("table", "column"))
     hot = (
-        counts.withColumn("bar", F.greatest(F.lit(float(min_rows)), total * share))
+        counts.withColumn("bar", total * share)
         .filter(F.col("n") > F.col("bar"))
-        .withColumn("pieces", F.ceil(F.col("n") / F.col("bar")).cast("int"))
+        .withColumn("pieces", F.ceil(F.col("n") / F.greatest("bar", F.lit(1.0))).cast("int"))
+        .filter("pieces > 1")
     )
     for row in hot.select("table", "column", "slot", "pieces").collect():
         found[row["table"]][row["column"]][row["slot"]] = row["pieces"]
@@ -76,10 +70,10 @@ def spread_join(
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"cannot split the left side of a {how} join")
-    if not hot:
-        return left.join(right, key, how)
     if left.schema[key].dataType != right.schema[key].dataType:
         raise TypeError(f"{key} has different types on the two sides")
+    if not hot:
+        return left.join(right, key, how)
     table = F.create_map(*[F.lit(n) for pair in sorted(hot.items()) for n in pair])
     pieces = F.coalesce(F.try_element_at(table, _slot(F.col(key))), F.lit(1))
     split = left.withColumn("_piece", F.pmod(F.xxhash64(*spread_by), pieces).cast("int"))

@@ -43,6 +43,10 @@ def bridge_identity(web: DataFrame, customers: DataFrame, hot: Slots | None = No
     )
 
 
+# Tasks over which the web tuples of one campaign are dealt.
+PIECES = 16
+
+
 def _span(df: DataFrame, keys: dict[str, str], day: str, prefix: str) -> DataFrame:
     """Distinct key tuples with their first and last day."""
     return df.groupBy(*[F.col(c).alias(name) for name, c in keys.items()]).agg(
@@ -50,6 +54,16 @@ def _span(df: DataFrame, keys: dict[str, str], day: str, prefix: str) -> DataFra
     )
 
 
+def _full_by_campaign(seen: DataFrame, bought: DataFrame) -> DataFrame:
+    """Full join by campaign, the web tuples of a campaign dealt over PIECES tasks: ads tuples are repeated for them,
+    and those without any web tuple are added."""
+    piece = F.pmod(F.xxhash64("utm_campaign", "web_source", "web_medium"), F.lit(PIECES)).cast("int")
+    dealt = bought.withColumn("_piece", F.explode(F.sequence(F.lit(0), F.lit(PIECES - 1))))
+    matched = seen.withColumn("_piece", piece).join(dealt, ["campaign_id", "_piece"], "left").drop("_piece")
+    only_bought = bought.join(seen.select("campaign_id").distinct(), "campaign_id", "left_anti")
+    return matched.unionByName(only_bought, allowMissingColumns=True)
+
+
 def bridge_campaign_mapping(web: DataFrame, ads: DataFrame) -> DataFrame:
     """Every (campaign, ads name, web tags, channel) combination seen, with its active period and match quality.
 
@@ -82,7 +96,7 @@ def bridge_campaign_mapping(web: DataFrame, ads: DataFrame) -> DataFrame:
     named = F.col("ads_campaign_name").isNotNull()
     tagged = F.col("utm_campaign").isNotNull()
     return stamp(
-        seen.join(bought, "campaign_id", "full")
+        _full_by_campaign(seen, bought)
         .groupBy(
             "campaign_id",
             "ads_campaign_name",

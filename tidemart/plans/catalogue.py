@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,19 +12,18 @@ from tidemart.functions import hash_bucket, session_id
 from tidemart.operators.latest import keep_latest
 from tidemart.operators.sampling import hash_sample
 from tidemart.plans import marts, prep, quality
-from tidemart.plans.facts import fact_order_logistics, fact_orders
-from tidemart.plans.dims import customer_lookup
 from tidemart.plans.warehouse import Warehouse
-from tidemart.schemas import WEB_EVENTS_JSON
+from tidemart.schemas import CSV_SOURCES, WEB_EVENTS_JSON
 from tidemart.sources.driver_tables import DriverTables
+from tidemart.sources.files import read_csv
 from tidemart.sources.scratch import scratch_folder
-from tidemart.streaming.ingest import WEB_KEYS, ingest_ads, ingest_csv_sources, ingest_web_events
+from tidemart.streaming.ingest import WEB_KEYS, bronze_reader, ingest_ads, ingest_csv_sources, ingest_web_events
 from tidemart.streaming.landing import AUDIT, CSV_READ_OPTIONS, WEB_RECORDS, land_ads, land_csv, land_web
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # When a run happened, and hash keys, which SQL engines do not share.
-RUN_COLUMNS = ("silver_processed_at", "checked_at", "detected_at", "quarantined_at", "record_source")
+RUN_COLUMNS = ("silver_processed_at", "checked_at", "detected_at", "quarantined_at")
 KEY_COLUMNS = (
     "campaign_key", "channel_key", "customer_key", "product_key", "seller_key", "geolocation_key",
     "customer_geolocation_key", "seller_geolocation_key",
@@ -33,10 +33,19 @@ KEY_COLUMNS = (
 AS_OF = "DATE '2001-06-30'"
 
 
+# A share of the rows so small that the lookup columns of the driver tables have many values above it.
+FORCED_SHARE = 1 / 1024
+
+
 def tables(spark: SparkSession, directory: str) -> Warehouse:
     return Warehouse(DriverTables(spark, directory).bronze)
 
 
+def split_tables(spark: SparkSession, directory: str) -> Warehouse:
+    """Like ``tables``, with nearly every lookup key split, to compare the split joins with the plain definition."""
+    return Warehouse(DriverTables(spark, directory).bronze, hot_share=FORCED_SHARE)
+
+
 # Tables that the campaign datasets read several times.
 CAMPAIGN_TABLES = ("silver_web_events", "silver_ads_campaigns", "bridge_campaign_mapping", "dim_campaign")
 
@@ -54,61 +63,61 @@ def dataset(name: str, make: Callable[[SparkSession, str], Warehouse] = tables)
     return lambda spark, directory: comparable(make(spark, directory)[name])
 
 
-def with_place(df: DataFrame, key: str, places: DataFrame) -> DataFrame:
-    """Shows a place by its city and state instead of its key."""
-    named = places.select(
-        F.col("geolocation_key").alias(key), F.col("city").alias("place_city"), F.col("state").alias("place_state")
-    )
-    return df.join(named, key, "left")
+Make = Callable[[SparkSession, str], Warehouse]
+KNOWN = {"fact_orders": ("customer",), "fact_order_logistics": ("customer",), "fact_order_items": ("product", "seller")}
+
 
+def fact_with_place(name: str, make: Make = tables, **options: object) -> Query:
+    """A fact with the place instead of its key, and whether the other keys were found."""
 
-def fact_with_place(name: str, key: str, party_key: str) -> Query:
     def query(spark: SparkSession, directory: str) -> DataFrame:
-        w = tables(spark, directory)
-        fact = w[name] if name != "fact_order_logistics" else logistics(w)
-        placed = with_place(fact, key, w["dim_geolocation"])
-        return comparable(placed.withColumn(f"has_{party_key}", F.col(f"{party_key}_key").isNotNull()))
+        fact = make(spark, directory).build(name, show_place=True, **options)
+        return comparable(fact.withColumns({f"has_{p}": F.col(f"{p}_key").isNotNull() for p in KNOWN[name]}))
 
     return query
 
 
-def logistics(w: Warehouse) -> DataFrame:
-    hot = w.hot_keys(("silver_orders", "silver_customers"))
-    return fact_order_logistics(
-        w["silver_orders"],
-        w["silver_order_items"],
-        customer_lookup(w["silver_customers"]),
-        w["dim_geolocation"],
-        F.expr(AS_OF),
-        {c: s for columns in hot.values() for c, s in columns.items()},
-    )
+def fact_logistics(make: Make = tables) -> Query:
+    return lambda spark, directory: fact_with_place("fact_order_logistics", make, as_of=F.expr(AS_OF))(spark, directory)
+
+
+def fact_spend(spark: SparkSession, directory: str) -> DataFrame:
+    spend = tables(spark, directory)["fact_marketing_spend_daily"]
+    return comparable(spend.withColumn("has_campaign", F.col("campaign_key").isNotNull()))
+
+
+def mart_customer(make: Make = tables) -> Query:
+    return lambda spark, directory: comparable(make(spark, directory).build("mart_customer_summary", show_place=True))
 
 
-def fact_items(spark: SparkSession, directory: str) -> DataFrame:
+def mart_customer_one_place(spark: SparkSession, directory: str) -> DataFrame:
+    """One row per customer: order facts and customers take one place per zip."""
     w = tables(spark, directory)
-    placed = with_place(w["fact_order_items"], "seller_geolocation_key", w["dim_geolocation"])
-    known = {f"has_{p}": F.col(f"{p}_key").isNotNull() for p in ("product", "seller")}
-    return comparable(placed.withColumns(known))
+    hot = w.hot_keys(("silver_customers", "silver_orders"))
+    merged = {c: s for columns in hot.values() for c, s in columns.items()}
+    mart = marts.mart_customer_summary(
+        w["silver_customers"], w.build("fact_orders", geo_per_zip=True), w["silver_orders"],
+        w["silver_order_reviews"], w["dim_geolocation"], merged, geo_per_zip=True, show_place=True,
+    )
+    return comparable(mart)
 
 
-def fact_funnel(spark: SparkSession, directory: str) -> DataFrame:
-    w = campaign_tables(spark, directory)
+def _fact_funnel(w: Warehouse) -> DataFrame:
     campaigns = w["dim_campaign"].select("campaign_key", "campaign_id")
     named = w["fact_web_funnel_daily"].join(campaigns, "campaign_key", "left")
     return comparable(named.join(w["dim_channel"], "channel_key", "left"))
 
 
+def fact_funnel(spark: SparkSession, directory: str) -> DataFrame:
+    return _fact_funnel(campaign_tables(spark, directory))
+
+
 def quarantine_strict(spark: SparkSession, directory: str) -> DataFrame:
     return comparable(quality.quarantine_web_events(tables(spark, directory)["bronze_web_events"], strict=True))
 
 
 def fact_orders_one_place(spark: SparkSession, directory: str) -> DataFrame:
-    w = tables(spark, directory)
-    fact = fact_orders(
-        w["silver_orders"], w["silver_order_items"], w["silver_order_payments"],
-        customer_lookup(w["silver_customers"]), w["dim_geolocation"], geo_per_zip=True,
-    )
-    return comparable(with_place(fact, "customer_geolocation_key", w["dim_geolocation"]))
+    return fact_with_place("fact_orders", geo_per_zip=True)(spark, directory).drop("has_customer")
 
 
 def mart_counted_once(spark: SparkSession, directory: str) -> DataFrame:
@@ -149,7 +158,7 @@ def item_base(w: Warehouse) -> DataFrame:
     raw = {name: w[f"bronze_{name}"].drop("ingestion_time", "source_file") for name in bronze}
     raw["customers"] = raw["customers"].withColumn("customer_id", F.trim("customer_id"))
     translation = w["silver_category_translation"]
-    hot = w.hot_keys(("silver_orders", "silver_order_items"))
+    hot = w.hot_keys(("silver_orders", "silver_order_items", "silver_products"))
     merged = {c: s for columns in hot.values() for c, s in columns.items()}
     return prep.order_item_base(
         raw["orders"], raw["customers"], raw["order_items"], raw["products"], raw["payments"], translation, merged
@@ -177,16 +186,17 @@ def prep_expand_events(spark: SparkSession, directory: str) -> DataFrame:
     return events.drop(*tags)
 
 
-def folded_web(w: Warehouse) -> DataFrame:
-    return w["silver_web_events"]
+def prep_ads_rollup(spark: SparkSession, directory: str) -> DataFrame:
+    return prep.rollup_ads_daily(tables(spark, directory)["silver_web_events"])
 
 
-def prep_ads_rollup(spark: SparkSession, directory: str) -> DataFrame:
-    return prep.rollup_ads_daily(folded_web(tables(spark, directory)))
+def prep_campaign_days(spark: SparkSession, directory: str) -> DataFrame:
+    """Events of each kind per day, campaign and tags."""
+    return prep.campaign_day_counts(tables(spark, directory)["silver_web_events"])
 
 
 def prep_labels(spark: SparkSession, directory: str) -> DataFrame:
-    web = folded_web(tables(spark, directory))
+    web = tables(spark, directory)["silver_web_events"]
     labels = {
         "campaign_name": prep.campaign_name(F.col("campaign_id")),
         "channel": prep.channel_name(F.col("utm_source")),
@@ -196,15 +206,28 @@ def prep_labels(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def hash_bucket_campaigns(spark: SparkSession, directory: str) -> DataFrame:
-    """Products per campaign bucket of their English category."""
+    """Per English category: products, buckets its products fall into, and whether all buckets are in range."""
     enriched = tables(spark, directory)["silver_products_enriched"]
-    bucket = hash_bucket(F.col("product_category_name_english"), 6)
-    return enriched.groupBy(bucket.alias("campaign_bucket")).agg(F.count(F.lit(1)).alias("product_count"))
+    named = enriched.select("product_category_name_english", hash_bucket(F.col("product_category_name_english"), 6).alias("b"))
+    return named.groupBy("product_category_name_english").agg(
+        F.count(F.lit(1)).alias("product_count"),
+        F.count_distinct(F.coalesce("b", F.lit(-1))).alias("bucket_count"),
+        F.bool_and(F.col("b").between(0, 5)).alias("in_range"),
+    )
 
 
 def hash_sample_items(spark: SparkSession, directory: str) -> DataFrame:
-    """The generator's sample of order items, the same rows on every run."""
-    return hash_sample(item_base(tables(spark, directory)), ["order_id", "order_item_id"])
+    """The generator's sample of order items: its size, and how many of its rows are rows of the items as often."""
+    w = tables(spark, directory)
+    keys = ["order_id", "order_item_id", "product_id", "seller_id", "price"]
+    base = item_base(w).select(*keys)
+    sampled = hash_sample(base, ["order_id", "order_item_id"]).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    have = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("there"))
+    same = [sampled[k].eqNullSafe(have[k]) for k in keys]
+    found = sampled.join(have, same, "left")
+    return found.agg(
+        F.sum("n").alias("sample_rows"), F.sum(F.when(F.col("n") <= F.col("there"), F.col("n"))).alias("known_rows")
+    )
 
 
 QUERIES: dict[str, Query] = {
@@ -234,21 +257,31 @@ QUERIES: dict[str, Query] = {
     "dim_product": dataset("dim_product"),
     "dim_seller": dataset("dim_seller"),
     "surrogate_key_check": surrogate_keys,
-    "fact_orders": fact_with_place("fact_orders", "customer_geolocation_key", "customer"),
+    "fact_orders": fact_with_place("fact_orders"),
     "fact_orders_one_place": fact_orders_one_place,
-    "fact_order_items": fact_items,
-    "fact_logistics": fact_with_place("fact_order_logistics", "customer_geolocation_key", "customer"),
-    "fact_spend": dataset("fact_marketing_spend_daily"),
+    "fact_order_items": fact_with_place("fact_order_items"),
+    "fact_logistics": fact_logistics(),
+    "fact_spend": fact_spend,
     "fact_funnel": fact_funnel,
     "mart_sales_marketing": dataset("mart_sales_marketing_360", campaign_tables),
     "mart_counted_once": mart_counted_once,
     "mart_kpi": dataset("mart_kpi_daily", campaign_tables),
-    "mart_customer": dataset("mart_customer_summary"),
+    "mart_customer": mart_customer(),
+    "mart_customer_one_place": mart_customer_one_place,
+    "split_fact_orders": fact_with_place("fact_orders", split_tables),
+    "split_fact_order_items": fact_with_place("fact_order_items", split_tables),
+    "split_fact_logistics": fact_logistics(split_tables),
+    "split_fact_funnel": lambda spark, directory: _fact_funnel(split_tables(spark, directory)),
+    "split_bridge_identity": dataset("bridge_identity", split_tables),
+    "split_referential_issues": dataset("referential_integrity_issues", split_tables),
+    "split_item_base": lambda spark, directory: item_base(split_tables(spark, directory)),
+    "split_mart_customer": mart_customer(split_tables),
     "prep_payment_rollup": prep_payment_rollup,
     "prep_item_base": prep_item_base,
     "prep_session_id": prep_session_id,
     "prep_expand_events": prep_expand_events,
     "prep_ads_rollup": prep_ads_rollup,
+    "prep_campaign_days": prep_campaign_days,
     "prep_labels": prep_labels,
     "hash_bucket": hash_bucket_campaigns,
     "hash_sample": hash_sample_items,
@@ -264,7 +297,7 @@ def ingest_csv_append(spark: SparkSession, directory: str) -> DataFrame:
     """Orders as CSV in two landing runs, streamed in two starts: each start appends only its new files."""
     orders = tables(spark, directory)["bronze_orders"]
     landing, bronze, checkpoints = _ingest_folders(spark)
-    early = F.col("order_purchase_timestamp") < F.lit("1999-01-01").cast("timestamp")
+    early = F.coalesce(F.col("order_purchase_timestamp") < F.lit("1999-01-01").cast("timestamp"), F.lit(False))
     for part in (orders.filter(early), orders.filter(~early)):
         land_csv(part, landing, "orders")
         ingest_csv_sources(spark, landing, bronze, checkpoints, ["orders"], CSV_READ_OPTIONS)
@@ -297,27 +330,72 @@ def ingest_late_update(spark: SparkSession, directory: str) -> DataFrame:
     return written.join(current.agg(F.count(F.lit(1)).alias("current_rows")), "batch_id", "left")
 
 
+def ingest_json_upsert_web_at_once(spark: SparkSession, directory: str) -> DataFrame:
+    """Both runs lie in the landing folder before the first start: the later run still wins."""
+    raw = tables(spark, directory)["bronze_web_events"]
+    landing, bronze, checkpoints = _ingest_folders(spark)
+    updated = F.coalesce(F.col("event_time") < F.col("ingestion_time"), F.lit(False))
+    for run, part in (("run_1", raw.filter(~updated)), ("run_2", raw.filter(updated))):
+        land_web(part, landing, run)
+    return ingest_web_events(spark, landing, bronze, checkpoints).drop(*AUDIT)
+
+
 def ingest_json_upsert_ads(spark: SparkSession, directory: str) -> DataFrame:
-    ads = tables(spark, directory)["silver_ads_campaigns"]
+    """All raw ads rows, then the same with a higher cost."""
+    raw = tables(spark, directory)["bronze_ads_campaigns"]
     landing, bronze, checkpoints = _ingest_folders(spark)
-    raw = ads.select(
-        F.col("campaign_date").alias("date"), "campaign_id", "campaign_name", "channel", "source", "medium",
-        "impressions", "clicks", "conversions", "cost", "currency",
-    )
     land_ads(raw, landing, "run_1")
     ingest_ads(spark, landing, bronze, checkpoints)
     land_ads(raw.withColumn("cost", F.col("cost") + 1), landing, "run_2")
     return ingest_ads(spark, landing, bronze, checkpoints).drop(*AUDIT)
 
 
+def _land_all_csv(spark: SparkSession, directory: str) -> tuple[str, str, str]:
+    """All nine CSV sources; the sellers in another order of columns, with one more."""
+    w = tables(spark, directory)
+    landing, bronze, checkpoints = _ingest_folders(spark)
+    for name in CSV_SOURCES:
+        df = w[f"bronze_{name}"].drop(*AUDIT)
+        if name == "sellers":
+            df = df.select("seller_state", F.lit("x").alias("seller_note"), "seller_id", "seller_zip_code_prefix", "seller_city")
+        land_csv(df, landing, name)
+    return landing, bronze, checkpoints
+
+
+def _csv_summary(read: Callable[[str], DataFrame]) -> DataFrame:
+    """Rows per source, and per column how many values it has and how many differ."""
+    parts = []
+    for name, ddl in CSV_SOURCES.items():
+        columns = [c.split(" ")[0] for c in ddl.split(", ")]
+        measures = [F.struct(F.lit(c).alias("column_name"), F.count(c).alias("values"), F.count_distinct(c).alias("distinct_values")) for c in columns]
+        summed = read(name).agg(F.count(F.lit(1)).alias("row_count"), F.array(*measures).alias("m"))
+        parts.append(summed.select(F.lit(name).alias("source"), "row_count", F.inline("m")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def ingest_csv_all(spark: SparkSession, directory: str) -> DataFrame:
+    """All nine streams side by side."""
+    landing, bronze, checkpoints = _land_all_csv(spark, directory)
+    ingest_csv_sources(spark, landing, bronze, checkpoints, options=CSV_READ_OPTIONS)
+    return _csv_summary(bronze_reader(spark, bronze, prefix="bronze_"))
+
+
+def read_csv_all(spark: SparkSession, directory: str) -> DataFrame:
+    """All nine sources read as a batch."""
+    landing, _, _ = _land_all_csv(spark, directory)
+    return _csv_summary(lambda name: read_csv(spark, f"{landing}/{name}", CSV_SOURCES[name], options=CSV_READ_OPTIONS))
+
+
 def sink_json_layout(spark: SparkSession, directory: str) -> DataFrame:
-    """Web events written as landing JSON and read back: rows per campaign, files within their size limit."""
+    """Web events written as landing JSON and read back: rows per campaign, and whether every file of the landing run
+    that holds some keeps to its size limit."""
     landing, _, _ = _ingest_folders(spark)
     land_web(tables(spark, directory)["bronze_web_events"], landing, "run_1")
     back = spark.read.schema(WEB_EVENTS_JSON).json(f"{landing}/web_events/run_1")
     files = back.groupBy("campaign_id", F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"))
-    return files.groupBy("campaign_id").agg(
-        F.sum("n").alias("row_count"), (F.max("n") <= WEB_RECORDS).alias("within_limit")
+    whole = files.groupBy("file").agg(F.sum("n").alias("in_file"))
+    return files.join(whole, "file").groupBy("campaign_id").agg(
+        F.sum("n").alias("row_count"), (F.max("in_file") <= WEB_RECORDS).alias("within_limit")
     )
 
 
@@ -325,7 +403,10 @@ QUERIES.update(
     {
         "ingest_csv_append": ingest_csv_append,
         "ingest_json_upsert_web": ingest_json_upsert_web,
+        "ingest_json_upsert_web_at_once": ingest_json_upsert_web_at_once,
         "ingest_json_upsert_ads": ingest_json_upsert_ads,
+        "ingest_csv_all": ingest_csv_all,
+        "read_csv_all": read_csv_all,
         "ingest_late_update": ingest_late_update,
         "sink_json_layout": sink_json_layout,
     }

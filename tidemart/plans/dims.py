@@ -54,7 +54,7 @@ def customer_lookup(customers: DataFrame) -> DataFrame:
 def dim_customer(customers: DataFrame, orders: DataFrame) -> DataFrame:
     history = orders.groupBy("customer_id").agg(
         F.min("order_purchase_date").alias("first_order_date"),
-        F.count_distinct("order_id").alias("total_orders"),
+        F.count("order_id").alias("total_orders"),  # order_id is unique in the clean table
     )
     total = F.coalesce("total_orders", F.lit(0))
     return customers.join(history, "customer_id", "left").select(

@@ -18,6 +18,10 @@ ORDER_TIMES = (
 )
 
 
+# What a fact can show of a place besides its key. It comes with the zip lookup, so no fact is joined by place.
+PLACE_COLUMNS = ("place_city", "place_state")
+
+
 def one_place_per_zip(geolocation: DataFrame) -> DataFrame:
     """The place with the smallest city, then state, for each zip prefix."""
     place = F.struct("city", "state", "geolocation_key")
@@ -27,13 +31,13 @@ def one_place_per_zip(geolocation: DataFrame) -> DataFrame:
 def with_places(
     df: DataFrame, zip_column: str, geolocation: DataFrame, spread_by: str, hot: Slots | None, geo_per_zip: bool
 ) -> DataFrame:
-    """Adds ``geolocation_key`` by zip prefix.
+    """Adds ``geolocation_key``, ``place_city`` and ``place_state`` by zip prefix.
 
     A zip prefix that covers several cities gives one row per city, which is the defined result. Resolving places
     on the customer or seller table, before the facts join it, moves no fact row by zip.
     """
     places = one_place_per_zip(geolocation) if geo_per_zip else geolocation
-    places = places.select(F.col("zip_code_prefix").alias(zip_column), "geolocation_key")
+    places = places.select(F.col("zip_code_prefix").alias(zip_column), "geolocation_key", F.col("city").alias("place_city"), F.col("state").alias("place_state"))
     return spread_join(df, places, zip_column, hot, [spread_by])
 
 
@@ -45,6 +49,7 @@ def fact_orders(
     geolocation: DataFrame,
     hot: HotKeys | None = None,
     geo_per_zip: bool = False,
+    show_place: bool = False,
 ) -> DataFrame:
     """Order-level values, payment totals and delivery columns.
 
@@ -88,6 +93,7 @@ def fact_orders(
         flag(F.col("order_status") == "canceled").alias("is_canceled"),
         "delivery_delay_days",
         *ORDER_TIMES,
+        *(PLACE_COLUMNS if show_place else ()),
     )
 
 
@@ -99,6 +105,7 @@ def fact_order_items(
     geolocation: DataFrame,
     hot: HotKeys | None = None,
     geo_per_zip: bool = False,
+    show_place: bool = False,
 ) -> DataFrame:
     """Item-level values with product, seller and seller place.
 
@@ -138,6 +145,7 @@ def fact_order_items(
         F.round(F.col("item_total_value").cast("decimal(18,4)"), 2).cast("decimal(12,2)").alias("item_total_value"),
         "shipping_limit_ts",
         "order_status",
+        *(PLACE_COLUMNS if show_place else ()),
     )
 
 
@@ -153,6 +161,7 @@ def fact_order_logistics(
     as_of: Column | None = None,
     hot: HotKeys | None = None,
     geo_per_zip: bool = False,
+    show_place: bool = False,
 ) -> DataFrame:
     """Delivery lead times and flags per order. ``as_of`` is the day that decides what is still open and late."""
     hot = hot or {}
@@ -194,6 +203,7 @@ def fact_order_logistics(
         flag(F.col("order_status") == "canceled").alias("is_canceled"),
         flag(open_late).alias("is_open_late"),
         flag(delay > 0).alias("is_late_delivery"),
+        *(PLACE_COLUMNS if show_place else ()),
     )
 
 

@@ -70,7 +70,7 @@ def attributed_orders(
         .groupBy(date_key(F.col("event_date")).alias("date_key"), "campaign_key")
         .agg(
             F.count_distinct("order_id").alias("orders"),
-            F.sum(F.col("order_value") * times.cast("decimal(9,0)")).alias("revenue"),
+            F.sum(F.col("order_value") * times.cast("decimal(19,0)")).alias("revenue"),
         )
     )
 
@@ -149,8 +149,9 @@ SEGMENTS = ((500, "high_value"), (200, "mid_value"))
 
 
 def customer_order_metrics(order_facts: DataFrame) -> DataFrame:
-    return order_facts.groupBy("customer_key", "customer_id", "customer_geolocation_key").agg(
-        F.count_distinct("order_id").alias("total_orders"),
+    known = order_facts.filter(F.col("customer_key").isNotNull())
+    return known.groupBy("customer_id", "customer_geolocation_key").agg(
+        F.count("order_id").alias("total_orders"),  # an order is in the fact once per place
         F.sum("payment_total").alias("total_revenue"),
         F.avg("payment_total").alias("avg_order_value"),
         F.sum("is_delivered").alias("delivered_order_count"),
@@ -182,6 +183,7 @@ def mart_customer_summary(
     geolocation: DataFrame,
     hot: HotKeys | None = None,
     geo_per_zip: bool = False,
+    show_place: bool = False,
 ) -> DataFrame:
     """Customer value, order history and reviews.
 
@@ -189,13 +191,15 @@ def mart_customer_summary(
     zip covers n places has n x n rows. With ``geo_per_zip`` (here and in the order fact) it is one row.
     """
     places = one_place_per_zip(geolocation) if geo_per_zip else geolocation
-    places = places.select(F.col("zip_code_prefix").alias("customer_zip_code_prefix"), "geolocation_key")
+    places = places.select(
+        F.col("zip_code_prefix").alias("customer_zip_code_prefix"), "geolocation_key", "city", "state"
+    )
     metrics = customer_order_metrics(order_facts).drop("customer_geolocation_key")
     who = customers.select(
         surrogate_key(F.col("customer_id")).alias("customer_key"), "customer_id", "customer_unique_id",
         "customer_zip_code_prefix", "customer_city", "customer_state",
     )
-    joined = who.join(metrics, ["customer_key", "customer_id"], "left").join(
+    joined = who.join(metrics, "customer_id", "left").join(
         customer_review_metrics(orders, reviews), "customer_id", "left"
     )
     placed = spread_join(
@@ -223,4 +227,5 @@ def mart_customer_summary(
         F.coalesce("review_count", F.lit(0)).alias("review_count"),
         flag(orders_made > 1).alias("is_repeat_customer"),
         segment.when(revenue > 0, "low_value").otherwise("no_purchase").alias("customer_segment"),
+        *((F.col("city").alias("place_city"), F.col("state").alias("place_state")) if show_place else ()),
     )

@@ -58,8 +58,12 @@ def order_item_base(
         "inner",
     )
     lines = spread_join(items, placed, "order_id", hot.get("order_id"), item, "inner")
-    described = products.join(
-        translation.select("product_category_name", "product_category_name_english"), "product_category_name", "left"
+    described = spread_join(
+        products,
+        translation.select("product_category_name", "product_category_name_english"),
+        "product_category_name",
+        hot.get("product_category_name"),
+        ["product_id"],
     )
     return spread_join(lines, described, "product_id", hot.get("product_id"), item)
 
@@ -117,15 +121,20 @@ def channel_name(utm_source: Column) -> Column:
     return label.otherwise(OTHER_CHANNEL)
 
 
-def rollup_ads_daily(events: DataFrame) -> DataFrame:
-    """Daily ads counters per campaign and tags, derived from web events with a timestamp ``event_time``."""
-    counts = events.groupBy(
+def campaign_day_counts(events: DataFrame) -> DataFrame:
+    """Views, additions to the cart and purchases per day, campaign and tags."""
+    return events.groupBy(
         F.to_date("event_time").alias("date"), "campaign_id", "utm_campaign", "utm_source", "utm_medium"
     ).agg(
         event_type_count("view_product").alias("views"),
         event_type_count("add_to_cart").alias("adds"),
         event_type_count("purchase").alias("conversions"),
     )
+
+
+def rollup_ads_daily(events: DataFrame) -> DataFrame:
+    """Daily ads counters per campaign and tags, derived from web events with a timestamp ``event_time``."""
+    counts = campaign_day_counts(events)
     clicks = F.greatest(F.floor(F.col("views") * CLICKS_PER_VIEW) + F.col("adds"), F.col("conversions") + 1)
     cost = F.col("clicks") * F.lit(COST_PER_CLICK).cast("decimal(4,2)") + F.col("conversions") * F.lit(
         COST_PER_CONVERSION

@@ -47,8 +47,8 @@ def _plain(function: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
 def _flat(function: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     """For functions that take one column -> slots mapping over all their inputs."""
 
-    def build(hot: TableHotKeys, *inputs: DataFrame) -> DataFrame:
-        return function(*inputs, hot={c: s for columns in hot.values() for c, s in columns.items()})
+    def build(hot: TableHotKeys, *inputs: DataFrame, **options: object) -> DataFrame:
+        return function(*inputs, hot={c: s for columns in hot.values() for c, s in columns.items()}, **options)
 
     return build
 
@@ -60,16 +60,18 @@ def _integrity(hot: TableHotKeys, *inputs: DataFrame) -> DataFrame:
 INTEGRITY_TABLES = tuple(dict.fromkeys(t for c in quality.REFERENCE_CHECKS for t in (c.table, c.target)))
 
 
-def _fact_orders(orders, items, payments, customers, geolocation, hot):
-    return facts.fact_orders(orders, items, payments, dims.customer_lookup(customers), geolocation, hot)
+def _fact_orders(orders, items, payments, customers, geolocation, hot, **options):
+    return facts.fact_orders(orders, items, payments, dims.customer_lookup(customers), geolocation, hot, **options)
 
 
-def _fact_order_items(items, orders, products, sellers, geolocation, hot):
-    return facts.fact_order_items(items, orders, dims.product_lookup(products), sellers, geolocation, hot)
+def _fact_order_items(items, orders, products, sellers, geolocation, hot, **options):
+    return facts.fact_order_items(items, orders, dims.product_lookup(products), sellers, geolocation, hot, **options)
 
 
-def _fact_order_logistics(orders, items, customers, geolocation, hot, as_of=None):
-    return facts.fact_order_logistics(orders, items, dims.customer_lookup(customers), geolocation, as_of, hot)
+def _fact_order_logistics(orders, items, customers, geolocation, hot, **options):
+    return facts.fact_order_logistics(
+        orders, items, dims.customer_lookup(customers), geolocation, hot=hot, **options
+    )
 
 
 def _mart_sales_marketing(spend, funnel, web, order_facts, campaigns, hot):
@@ -179,8 +181,15 @@ class Warehouse:
     names tables to save in ``folder`` when they are first asked for, because several datasets read them.
     """
 
-    def __init__(self, bronze: Callable[[str], DataFrame], folder: str = "", shared: tuple[str, ...] = ()) -> None:
+    def __init__(
+        self,
+        bronze: Callable[[str], DataFrame],
+        folder: str = "",
+        shared: tuple[str, ...] = (),
+        hot_share: float = 1 / 256,
+    ) -> None:
         self._bronze = bronze
+        self._hot_share = hot_share
         self._folder = folder
         self._shared = shared
         self._tables: dict[str, DataFrame] = {}
@@ -194,19 +203,20 @@ class Warehouse:
                 self.save(self._folder, name)
         return self._tables[name]
 
-    def build(self, name: str) -> DataFrame:
+    def build(self, name: str, **options: object) -> DataFrame:
+        """``options`` go to the function of a fact or mart, such as ``geo_per_zip`` or ``show_place``."""
         dataset = DATASETS[name]
-        return dataset.build(self.hot_keys(dataset.skewed), *[self[i] for i in dataset.inputs])
+        return dataset.build(self.hot_keys(dataset.skewed), *[self[i] for i in dataset.inputs], **options)
 
     def hot_keys(self, names: tuple[str, ...]) -> TableHotKeys:
         """Measured hot keys per table; each table is measured once.
 
-        A table that is not saved yet is measured on its typed raw rows: that reads the key columns only, and the
-        latest-row step can but remove rows, so no hot key is missed.
+        A table that is not saved yet is measured on its typed raw rows; the latest-row step can but remove rows, so no
+        hot key is missed. From CSV-fed tables that reads the key columns only; upserted ones need their latest row.
         """
         todo = {n: (self._keys_of(n), LOOKUP_COLUMNS[n]) for n in names if n not in self._hot}
         if todo:
-            self._hot.update(measure_hot_keys(todo))
+            self._hot.update(measure_hot_keys(todo, self._hot_share))
         return {n: self._hot[n] for n in names}
 
     def _keys_of(self, name: str) -> DataFrame:

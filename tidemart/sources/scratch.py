@@ -7,8 +7,30 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+_made: list[str] = []
+
 
 def scratch_folder(spark: SparkSession) -> str:
-    """A new folder under the shared one the cluster names; a local temporary one only where none is named."""
+    """A new folder under the shared one the cluster names in spark.checkpoint.dir.
+
+    A session on one machine without that setting gets a temporary folder. On a cluster it is an error: executors would
+    write to their own disks and readers would miss part of the rows.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{shared.rstrip('/')}/tidemart-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="tidemart-")
+    master = spark.sparkContext.master
+    if shared:
+        folder = f"{shared.rstrip('/')}/tidemart-{uuid.uuid4().hex}"
+    elif master == "local" or master.startswith("local["):
+        folder = tempfile.mkdtemp(prefix="tidemart-")
+    else:
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    _made.append(folder)
+    return folder
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Deletes all folders this session has made, once their tables are no longer read."""
+    conf = spark._jsc.hadoopConfiguration()
+    while _made:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(conf).delete(path, True)

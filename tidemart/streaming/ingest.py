@@ -11,28 +11,36 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemart.operators.latest import keep_latest
 from tidemart.plans.prep import EVENT_TIME_FORMAT
+from tidemart.sources.files import CORRUPT, csv_schema, declared_columns
 from tidemart.schemas import ADS_JSON, BRONZE_ADS, BRONZE_WEB_EVENTS, CSV_SOURCES, WEB_EVENTS_JSON
 
 # Columns some file sources add for values they could not place.
 RESCUE_COLUMNS = ("_rescued_data", "source_folder")
 
+# The landing run of a row, while a batch is reduced to one row per key: the folder its file lies in.
+RUN = "_landing_run"
+
 WEB_KEYS = ("event_id",)
 ADS_KEYS = ("date", "campaign_id")
 
 
 def stream_csv(spark: SparkSession, path: str, schema: str, options: dict[str, str] | None = None) -> DataFrame:
-    """New CSV files with a header, in any sub-folder."""
-    reader = spark.readStream.format("csv").schema(schema).option("header", True).options(**(options or {}))
-    return reader.option("recursiveFileLookup", True).load(path).drop(*RESCUE_COLUMNS)
+    """New CSV files with a header, in any sub-folder: the declared columns by name, and the text of rows that could not
+    be read. A start takes the order of columns from the files that lie there; a file with another header fails it."""
+    found = csv_schema(spark, path, schema, options)
+    reader = spark.readStream.format("csv").schema(found).option("header", True).option("enforceSchema", False)
+    raw = reader.options(**(options or {})).option("recursiveFileLookup", True).load(path)
+    return raw.select(*declared_columns(raw, schema), CORRUPT, "_metadata").drop(*RESCUE_COLUMNS)
 
 
 def stream_json(spark: SparkSession, path: str, schema: str, options: dict[str, str] | None = None) -> DataFrame:
     """New JSON-lines files, in any sub-folder: each landing run writes its own."""
-    reader = spark.readStream.format("json").schema(schema).options(**(options or {}))
+    reader = spark.readStream.format("json").schema(f"{schema}, {CORRUPT} string").options(**(options or {}))
     return reader.option("recursiveFileLookup", True).load(path)
 
 
@@ -41,7 +49,7 @@ def with_audit(df: DataFrame, source_api: str | None = None) -> DataFrame:
     origin: dict[str, Column] = (
         {"source_file": F.col("_metadata.file_path")} if source_api is None else {"source_api": F.lit(source_api)}
     )
-    return df.withColumns({"ingestion_time": F.current_timestamp(), **origin})
+    return df.withColumns({"ingestion_time": F.current_timestamp(), **origin, RUN: F.regexp_extract("_metadata.file_path", "^(.*)/", 1)})
 
 
 def parse_web(raw: DataFrame) -> DataFrame:
@@ -54,10 +62,10 @@ def parse_ads(raw: DataFrame, source_api: str = "ads_api") -> DataFrame:
     return with_audit(raw, source_api).withColumn("date", F.col("date").try_cast("date"))
 
 
-def as_table(df: DataFrame, ddl: str) -> DataFrame:
-    """Exactly the columns and types of a typed bronze table."""
-    schema = df.sparkSession.createDataFrame([], ddl).schema
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+def as_table(df: DataFrame, ddl: str, also: Sequence[str] = ()) -> DataFrame:
+    """Exactly the columns and types of a typed bronze table, and the columns named in ``also``."""
+    schema = T.StructType.fromDDL(ddl)
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields], *also)
 
 
 def append_log(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
@@ -67,12 +75,21 @@ def append_log(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
 
 
 def batch_writer(log: str, keys: Sequence[str]) -> Callable[[DataFrame, int], None]:
-    """Writes one micro-batch: rows without a full key are dropped, and one row per key is kept."""
+    """Writes one micro-batch: rows without a full key are dropped, and one row per key is kept, that of the landing run
+    whose folder comes last by name. Lines that could not be read go to a log of their own."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        keyed = batch.dropna(subset=list(keys))
-        one_per_key = keep_latest(keyed, keys)
+        batch = batch.persist()
+        if CORRUPT in batch.columns:
+            unreadable = batch.filter(F.col(CORRUPT).isNotNull())
+            unreadable.write.mode("overwrite").parquet(f"{log}_unreadable/batch_id={batch_id}")
+            batch_rows = batch.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+        else:
+            batch_rows = batch
+        newest = [c for c in (RUN, "ingestion_time") if c in batch.columns]
+        one_per_key = keep_latest(batch_rows.dropna(subset=list(keys)), keys, newest).drop(RUN)
         one_per_key.write.mode("overwrite").parquet(f"{log}/batch_id={batch_id}")
+        batch.unpersist()
 
     return write
 
@@ -88,9 +105,12 @@ def read_upserts(spark: SparkSession, log: str, keys: Sequence[str]) -> DataFram
 
 
 def compact_log(spark: SparkSession, log: str, new_log: str, keys: Sequence[str]) -> None:
-    """Rewrites a log without superseded rows, each row staying in its batch folder, for the next runs to use."""
+    """Rewrites a log without superseded rows, each row staying in its batch folder, for the next runs to use.
+
+    ``new_log`` must not exist yet; readers turn to it when it is whole. Rows are dealt by key over all shuffle
+    partitions, so the number of writing tasks grows with the cluster's setting and no batch is one task."""
     latest = keep_latest(spark.read.parquet(log), keys, newest=("batch_id",))
-    latest.repartition("batch_id", F.pmod(F.xxhash64(*keys), F.lit(64))).write.partitionBy("batch_id").parquet(new_log)
+    latest.repartition(*keys).write.mode("error").partitionBy("batch_id").parquet(new_log)
 
 
 def ingest_csv_sources(
@@ -104,7 +124,7 @@ def ingest_csv_sources(
     """All CSV sources side by side: every stream is started before the first is awaited."""
     running = [
         append_log(
-            with_audit(stream_csv(spark, f"{landing}/{name}", CSV_SOURCES[name], options)),
+            with_audit(stream_csv(spark, f"{landing}/{name}", CSV_SOURCES[name], options)).drop(RUN, "_metadata"),
             f"{bronze}/bronze_{name}",
             f"{checkpoints}/{name}",
         )
@@ -114,27 +134,36 @@ def ingest_csv_sources(
         query.awaitTermination()
 
 
-def ingest_web_events(spark: SparkSession, landing: str, bronze: str, checkpoints: str) -> DataFrame:
+def ingest_web_events(
+    spark: SparkSession, landing: str, bronze: str, checkpoints: str, options: dict[str, str] | None = None
+) -> DataFrame:
+    """``options`` such as maxFilesPerTrigger or maxBytesPerTrigger bound the micro-batches of a long backlog."""
     log = f"{bronze}/bronze_web_events"
-    typed = as_table(parse_web(stream_json(spark, f"{landing}/web_events", WEB_EVENTS_JSON)), BRONZE_WEB_EVENTS)
+    raw = stream_json(spark, f"{landing}/web_events", WEB_EVENTS_JSON, options)
+    typed = as_table(parse_web(raw), BRONZE_WEB_EVENTS, (RUN, CORRUPT))
     upsert_log(typed, log, f"{checkpoints}/web_events", WEB_KEYS).awaitTermination()
     return read_upserts(spark, log, WEB_KEYS)
 
 
-def ingest_ads(spark: SparkSession, landing: str, bronze: str, checkpoints: str) -> DataFrame:
+def ingest_ads(
+    spark: SparkSession, landing: str, bronze: str, checkpoints: str, options: dict[str, str] | None = None
+) -> DataFrame:
     log = f"{bronze}/bronze_ads_campaigns"
-    typed = as_table(parse_ads(stream_json(spark, f"{landing}/api_ads_raw", ADS_JSON)), BRONZE_ADS)
+    raw = stream_json(spark, f"{landing}/api_ads_raw", ADS_JSON, options)
+    typed = as_table(parse_ads(raw), BRONZE_ADS, (RUN, CORRUPT))
     upsert_log(typed, log, f"{checkpoints}/ads", ADS_KEYS).awaitTermination()
     return read_upserts(spark, log, ADS_KEYS)
 
 
-def bronze_reader(spark: SparkSession, bronze: str) -> Callable[[str], DataFrame]:
-    """Bronze tables by name, as ingested by the functions above."""
+def bronze_reader(spark: SparkSession, bronze: str, prefix: str = "") -> Callable[[str], DataFrame]:
+    """Bronze tables by name (without ``prefix``), as ingested by the functions above, without unreadable rows."""
     keys = {"bronze_web_events": WEB_KEYS, "bronze_ads_campaigns": ADS_KEYS}
 
     def read(name: str) -> DataFrame:
+        name = prefix + name
         if name in keys:
             return read_upserts(spark, f"{bronze}/{name}", keys[name])
-        return spark.read.parquet(f"{bronze}/{name}")
+        table = spark.read.parquet(f"{bronze}/{name}")
+        return table.filter(F.col(CORRUPT).isNull()).drop(CORRUPT) if CORRUPT in table.columns else table
 
     return read

@@ -6,20 +6,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.plans.prep import EVENT_TIME_FORMAT
-from tidemart.schemas import CSV_SOURCES
-from tidemart.sources.files import write_json
+from tidemart.sources.files import CORRUPT, write_json
 
 # Files and rows per file of a landing run.
 WEB_FILES, WEB_RECORDS = 16, 200_000
 ADS_FILES, ADS_RECORDS = 4, 50_000
 
-AUDIT = ("ingestion_time", "source_file", "source_api")
+AUDIT = ("ingestion_time", "source_file", "source_api", CORRUPT)
+
+
+def tasks_for(df: DataFrame, least: int, records: int) -> int:
+    """Number of writing tasks: the fixed one, or as many as keep a task to one full file."""
+    return max(least, -(-df.count() // records))
 
 
 def land_csv(df: DataFrame, landing: str, name: str) -> None:
-    columns = [c.split(" ")[0] for c in CSV_SOURCES[name].split(", ")]
+    """Columns in the order of ``df``; readers go by the header."""
     # Keep surrounding blanks and tell an empty text from a missing one.
-    writer = df.select(*columns).write.mode("append").option("header", True).option("nullValue", "\\N")
+    writer = df.drop(*AUDIT).write.mode("append").option("header", True).option("nullValue", "\\N")
     writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{landing}/{name}")
 
 
@@ -29,8 +33,10 @@ CSV_READ_OPTIONS = {"nullValue": "\\N"}
 def land_web(df: DataFrame, landing: str, run: str) -> None:
     """One run folder of web events, clustered by campaign."""
     text = df.drop(*AUDIT).withColumn("event_time", F.date_format("event_time", EVENT_TIME_FORMAT))
-    write_json(text, f"{landing}/web_events/{run}", WEB_FILES, "campaign_id", ["event_id"], WEB_RECORDS)
+    files = tasks_for(df, WEB_FILES, WEB_RECORDS)
+    write_json(text, f"{landing}/web_events/{run}", files, "campaign_id", ["event_id"], WEB_RECORDS)
 
 
 def land_ads(df: DataFrame, landing: str, run: str) -> None:
-    write_json(df.drop(*AUDIT), f"{landing}/api_ads_raw/{run}", ADS_FILES, max_records=ADS_RECORDS)
+    files = tasks_for(df, ADS_FILES, ADS_RECORDS)
+    write_json(df.drop(*AUDIT), f"{landing}/api_ads_raw/{run}", files, max_records=ADS_RECORDS)
