@@ -77,7 +77,8 @@ def regular_expression(pattern: str) -> str:
         if c == "*":
             out.append("[^/]*" if at < host else "(?s:.*)")
         elif c == "^":
-            out.append("(?:[^A-Za-z0-9]|^|$)")
+            inside = at < min(host, len(body) - 1)  # what follows is still the host's
+            out.append("(?:[^A-Za-z0-9/]|^|$)" if inside else "(?:[^A-Za-z0-9]|^|$)")
         else:
             out.append(c if c.isascii() and (c.isalnum() or c in "/-_") else rf"\x{{{ord(c):x}}}")
     return "".join(out)
