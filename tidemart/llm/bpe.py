@@ -32,7 +32,9 @@ from pyspark.sql import functions as F
 from .tables import texts_of
 
 #: Words (and token pairs) that a task remembers.
-REMEMBERED = 400_000
+REMEMBERED = 100_000
+#: Rows whose ids are sent back at once.
+ROWS_AT_ONCE = 512
 #: A symbol at the end of a word is another symbol than the same byte inside it.
 LAST = 0x10000
 # The word pattern of the vocabulary file, as its pre-tokenizer states it.
@@ -98,17 +100,18 @@ class WordBpe:
             self.automaton.add_word(s[::-1], t)
         self.automaton.make_automaton()
         self.last = {b: chr(LAST + b) for b in range(256)}
-        self.compatible_pairs: dict[tuple[int, int], bool] = {}
+        self.compatible_pairs: dict[int, bool] = {}
         self.words: dict[bytes, bytes] = {}
         self.token_table = JoinedTable([self.strings.get(t, "").encode() for t in range(size)])
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether merging the symbols of both tokens leaves just these two tokens."""
-        known = self.compatible_pairs.get((left, right))
+        both = left << 32 | right
+        known = self.compatible_pairs.get(both)
         if known is None:
             if len(self.compatible_pairs) >= REMEMBERED:
                 self.compatible_pairs.clear()
-            known = self.compatible_pairs[left, right] = self._stay_apart(left, right)
+            known = self.compatible_pairs[both] = self._stay_apart(left, right)
         return known
 
     def _stay_apart(self, left: int, right: int) -> bool:
@@ -216,7 +219,7 @@ def encoding_digests(docs: DataFrame, path: str) -> DataFrame:
 
 def _ids(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     bpe = loaded(path)
-    for batch in batches:
+    for batch in (b.slice(i, ROWS_AT_ONCE) for b in batches for i in range(0, b.num_rows, ROWS_AT_ONCE)):
         ids = [bpe.encode(t) for t in texts_of(batch.column(1))]
         values = np.concatenate([np.empty(0, "<u4"), *ids]).astype(np.int32)
         offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
