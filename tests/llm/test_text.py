@@ -131,6 +131,33 @@ def test_toxicity_on_held_out_texts(spark):
     assert toxicity.scored(docs.limit(0), model).count() == 0
 
 
+def test_toxicity_finds_one_rude_word_in_long_held_out_texts(spark):
+    rng = random.Random(8)
+    syllables = "th er an in re on at nd st es en of ed it ou ea hi is or ti as te et ng ha ble tion ing ly sh wh".split()
+    rude = "idiot moron scum clown pathetic worthless stupid loser".split()
+
+    def text(i):
+        words = ["".join(rng.choices(syllables, k=rng.randint(1, 4))) for _ in range(rng.randint(60, 400))]
+        for _ in range(rng.randint(1, 3) if i % 8 == 0 else 0):
+            words.insert(rng.randrange(len(words)), rng.choice(rude))
+        return " ".join(words)
+
+    docs = spark.createDataFrame([(i, text(i)) for i in range(1600)], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, int(i % 8 == 0)) for i in range(1000)], "doc_id long, toxic int")
+    scores = {r["doc_id"]: r["score"] for r in toxicity.scored(docs, toxicity.fit(docs, labels)).filter("doc_id >= 1000").collect()}
+    assert sum(scores[i] >= 0.7 for i in range(1000, 1600, 8)) >= 68  # of 75
+    assert sum(s >= 0.7 for i, s in scores.items() if i % 8) <= 10  # of 525
+
+
+def test_toxicity_learns_from_every_row(spark, monkeypatch):
+    seen = []
+    real = toxicity.regression
+    monkeypatch.setattr(toxicity, "regression", lambda rows, ratio, weight: seen.append(int(weight.sum())) or real(rows, ratio, weight))
+    docs = spark.range(3400).selectExpr("id AS doc_id", "concat(IF(id % 2 = 0, 'rude ', 'calm '), id) AS text")
+    toxicity.fit(docs, docs.selectExpr("doc_id", "CAST(doc_id % 2 = 0 AS int) AS toxic"))
+    assert max(seen) == 3400
+
+
 def test_features_of_pieces_are_those_of_the_whole(monkeypatch):
     text = ("Ünder the Bridge " * 40 + "end").encode()
     whole = toxicity.features(text)

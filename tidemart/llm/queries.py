@@ -72,7 +72,7 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    model = toxicity.fit(docs, labels.filter(crc_of_id(3) != 1))
+    model = toxicity.fit(docs, labels.filter(crc_of_id(3) != 1), cut=TOXIC_FROM)
     found = toxicity.scored(docs, model)
     predicted = (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted")
     return found.select("doc_id", (crc_of_id(3) == 1).alias("held_out"), "score", predicted)
