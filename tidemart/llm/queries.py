@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, kneser_ney, mixing, pii, quality, simhash, token_files, toxicity, url_rules
-from .tables import saved, table
+from . import bpe, exact_dedup, kneser_ney, merkle, mixing, pii, prefix_free, quality, simhash, spelling, token_files, toxicity, url_rules
+from .oracles import MERKLE, REPEATED_PASSAGES, SPELLING
+from .tables import lower_ascii, saved, table
 
 
 #: A text whose score reaches this is predicted toxic.
@@ -83,6 +84,24 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lowered = F.when(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, lower_ascii(F.col("text"))).otherwise(F.col("text"))
+    found = merkle.proofs(table(spark, sf_dir, "documents"), tampered_text=lowered)
+    hexed = {c: F.lower(F.hex(c)).alias(c) for c in ("leaf", "subroot", "root", "folded_root")}
+    proof = F.sha2(F.lower(F.hex("proof")), 256).alias("proof_sha256")
+    return found.select("doc_id", hexed["leaf"], hexed["subroot"], hexed["root"], proof, hexed["folded_root"], "verified")
+
+
+def op12_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = prefix_free.without_repeats(table(spark, sf_dir, "documents"), width=100)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.word_counts(table(spark, sf_dir, "documents"), least_length=7, least_count=2)
+    return spelling.variants(words, ratio=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_model": op1_language_model,
     "op2_quality_rules": op2_quality_rules,
@@ -94,6 +113,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_personal_data": op8_personal_data,
     "op9_toxicity": op9_toxicity,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_merkle": op11_merkle,
+    "op12_repeated_passages": op12_repeated_passages,
+    "op13_spelling": op13_spelling,
 }
 
 UNWANTED = "|".join(url_rules.UNWANTED_HOST_WORDS)
@@ -124,4 +146,7 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = max(doc_id) OVER g AS kept, sha256(body) AS text_sha256
         FROM t WINDOW g AS (PARTITION BY body)""",
+    "op11_merkle": MERKLE,
+    "op12_repeated_passages": REPEATED_PASSAGES,
+    "op13_spelling": SPELLING,
 }

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -12,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidemart.sources.scratch import scratch_folder
+
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: What separates words: space, tab, line feed, vertical tab, form feed, carriage return; bytes.split() cuts at the same.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -21,21 +21,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as spark.checkpoint.dir names it. A local session without that
-    setting gets a temporary folder; a cluster without it is an error, because executors would not see the files."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    own = tempfile.mkdtemp(prefix="tidemart-llm-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
-
-
 def new_folder(spark: SparkSession, purpose: str) -> str:
-    return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+    """A new folder in the one that driver and executors share (spark.checkpoint.dir), or in a temporary folder of a
+    local session without that setting."""
+    return f"{scratch_folder(spark)}/{purpose}"
 
 
 def saved(df: DataFrame, purpose: str) -> DataFrame:
