@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.tables import ads_rollup, kpi, sales_marketing, statement, web_columns
+from oracle.tables import TABLES, ads_rollup, kpi, sales_marketing, statement, web_columns
 
 REASONS = """CASE WHEN event_id IS NULL THEN 'missing_event_id' WHEN event_time IS NULL THEN 'invalid_or_missing_event_time'
  WHEN session_id IS NULL THEN 'missing_session_id'
@@ -165,6 +165,10 @@ WEB_ORDER = ", ".join(
 )
 LATEST_WEB = f"""SELECT * FROM b_web
 QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY coalesce(event_time < ingestion_time, false) DESC, {WEB_ORDER}) = 1"""
+LATEST_ADS = """SELECT * FROM b_ads WHERE date IS NOT NULL AND campaign_id IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY date, campaign_id ORDER BY campaign_name DESC NULLS LAST,
+ channel DESC NULLS LAST, source DESC NULLS LAST, medium DESC NULLS LAST, impressions DESC NULLS LAST,
+ clicks DESC NULLS LAST, conversions DESC NULLS LAST, cost DESC NULLS LAST, currency DESC NULLS LAST) = 1"""
 WEB_COPIES = "SELECT event_id, coalesce(event_time < ingestion_time, false) AS is_late FROM b_web"
 
 # Columns of the nine CSV sources as they land.
@@ -255,12 +259,10 @@ FROM (SELECT order_purchase_date AS d FROM s_orders UNION SELECT event_date FROM
     "ingest_csv_append": "SELECT * EXCLUDE (ingestion_time, source_file) FROM b_orders",
     "ingest_json_upsert_web": f"SELECT * EXCLUDE (ingestion_time, source_file) FROM ({LATEST_WEB})",
     "ingest_json_upsert_web_at_once": f"SELECT * EXCLUDE (ingestion_time, source_file) FROM ({LATEST_WEB})",
-    "ingest_json_upsert_ads": """SELECT * EXCLUDE (ingestion_time, source_api) REPLACE (cost + 1 AS cost)
-FROM b_ads WHERE date IS NOT NULL AND campaign_id IS NOT NULL
-QUALIFY row_number() OVER (PARTITION BY date, campaign_id ORDER BY campaign_name DESC NULLS LAST,
- channel DESC NULLS LAST, source DESC NULLS LAST, medium DESC NULLS LAST, impressions DESC NULLS LAST,
- clicks DESC NULLS LAST, conversions DESC NULLS LAST, cost DESC NULLS LAST, currency DESC NULLS LAST) = 1""",
+    "ingest_json_upsert_ads": f"SELECT * EXCLUDE (ingestion_time, source_api) REPLACE (cost + 1 AS cost) FROM ({LATEST_ADS})",
     "ingest_csv_all": csv_summary(),
+    "ingest_csv_headers": """SELECT * EXCLUDE (ingestion_time, source_file),
+ CASE WHEN seller_zip_code_prefix % 3 = 2 THEN 'n' || seller_id END AS seller_note FROM b_sellers""",
     "read_csv_all": csv_summary(),
     "prep_campaign_days": """SELECT CAST(event_time AS DATE) AS date, campaign_id, utm_campaign, utm_source, utm_medium,
  count(*) FILTER (event_type = 'view_product') AS views, count(*) FILTER (event_type = 'add_to_cart') AS adds,
@@ -311,5 +313,16 @@ FINAL |= {
 }
 
 
+# The tables after both ingests of the incremental queries: one web row per event, the cost of some days changed.
+AFTER_LATE_ROWS = {
+    "raw_web": TABLES["b_web"],
+    "raw_ads": TABLES["b_ads"].replace("b_web", "raw_web"),
+    "b_web": LATEST_WEB.replace("b_web", "raw_web"),
+    "b_ads": f"SELECT * REPLACE (CASE WHEN day(date) <= 2 THEN cost + 1 ELSE cost END AS cost) FROM ({LATEST_ADS.replace('b_ads', 'raw_ads')})",
+}
+INCREMENTAL = {"incremental_bridge": "bridge_campaign", "incremental_spend": "fact_spend", "incremental_funnel": "fact_funnel"}
+
+
 def oracle_statements() -> dict[str, str]:
-    return {name: statement(sql) for name, sql in FINAL.items()}
+    late = {name: statement(FINAL[same], AFTER_LATE_ROWS) for name, same in INCREMENTAL.items()}
+    return {name: statement(sql) for name, sql in FINAL.items()} | late

@@ -12,21 +12,21 @@ ARRIVED = "TIMESTAMP '2024-03-01 00:00:00'"
 TABLES: dict[str, str] = {}
 
 
-def statement(final: str) -> str:
-    """``final`` with the WITH clause it needs."""
-    needed: list[str] = []
+def statement(final: str, other: dict[str, str] | None = None) -> str:
+    """``final`` with the WITH clause it needs; ``other`` adds tables, or defines some of them in another way."""
+    tables, needed = TABLES | (other or {}), []
 
     def visit(sql: str) -> None:
-        for name in TABLES:
+        for name in tables:
             if name not in needed and re.search(rf"\b{name}\b", sql):
-                visit(TABLES[name])
+                visit(tables[name])
                 if name not in needed:
                     needed.append(name)
 
     visit(final)
     if not needed:
         return final
-    return "WITH " + ",\n".join(f"{n} AS ({TABLES[n]})" for n in needed) + "\n" + final
+    return "WITH " + ",\n".join(f"{n} AS ({tables[n]})" for n in needed) + "\n" + final
 
 
 # ---- bronze ---------------------------------------------------------------------------------------------------

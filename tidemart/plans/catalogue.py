@@ -11,14 +11,16 @@ from pyspark.sql import functions as F
 from tidemart.functions import hash_bucket, session_id
 from tidemart.operators.latest import keep_latest
 from tidemart.operators.sampling import hash_sample
-from tidemart.plans import marts, prep, quality
+from tidemart.plans import incremental, marts, prep, quality
 from tidemart.plans.warehouse import Warehouse
 from tidemart.schemas import CSV_SOURCES, WEB_EVENTS_JSON
 from tidemart.sources.driver_tables import DriverTables
 from tidemart.sources.files import read_csv
+from tidemart.sources.published import open_table
 from tidemart.sources.scratch import scratch_folder
 from tidemart.streaming.ingest import WEB_KEYS, bronze_reader, ingest_ads, ingest_csv_sources, ingest_web_events
 from tidemart.streaming.landing import AUDIT, CSV_READ_OPTIONS, WEB_RECORDS, land_ads, land_csv, land_web
+from tidemart.streaming.upserts import Upserted
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -301,7 +303,7 @@ def ingest_csv_append(spark: SparkSession, directory: str) -> DataFrame:
     for part in (orders.filter(early), orders.filter(~early)):
         land_csv(part, landing, "orders")
         ingest_csv_sources(spark, landing, bronze, checkpoints, ["orders"], CSV_READ_OPTIONS)
-    return spark.read.parquet(f"{bronze}/bronze_orders").drop(*AUDIT)
+    return bronze_reader(spark, bronze)("bronze_orders").drop(*AUDIT)
 
 
 def _land_web_in_two_runs(spark: SparkSession, directory: str) -> tuple[DataFrame, str]:
@@ -324,7 +326,7 @@ def ingest_json_upsert_web(spark: SparkSession, directory: str) -> DataFrame:
 def ingest_late_update(spark: SparkSession, directory: str) -> DataFrame:
     """Rows per batch of the web log, and how many of them are the current row of their key."""
     _, bronze = _land_web_in_two_runs(spark, directory)
-    log = spark.read.parquet(f"{bronze}/bronze_web_events")
+    log = Upserted(spark, f"{bronze}/bronze_web_events").deltas()
     written = log.groupBy(F.col("batch_id").cast("int").alias("batch_id")).agg(F.count(F.lit(1)).alias("log_rows"))
     current = keep_latest(log, WEB_KEYS, newest=("batch_id",)).groupBy(F.col("batch_id").cast("int").alias("batch_id"))
     return written.join(current.agg(F.count(F.lit(1)).alias("current_rows")), "batch_id", "left")
@@ -350,6 +352,40 @@ def ingest_json_upsert_ads(spark: SparkSession, directory: str) -> DataFrame:
     return ingest_ads(spark, landing, bronze, checkpoints).drop(*AUDIT)
 
 
+def _refreshed(spark: SparkSession, directory: str) -> str:
+    """The marketing tables built after a first ingest and refreshed after a second one: later copies of some events, and ads of
+    some days at another cost. Returns their folder."""
+    w = tables(spark, directory)
+    landing, bronze, checkpoints = _ingest_folders(spark)
+    out = f"{bronze}-marketing"
+    web, ads = w["bronze_web_events"], w["bronze_ads_campaigns"]
+    updated = F.coalesce(F.col("event_time") < F.col("ingestion_time"), F.lit(False))
+    later = ads.filter(F.day("date") <= 2).withColumn("cost", F.col("cost") + 1)
+    for run, new_web, new_ads, follow in (("run_1", web.filter(~updated), ads, incremental.build), ("run_2", web.filter(updated), later, incremental.refresh)):
+        land_web(new_web, landing, run)
+        land_ads(new_ads, landing, run)
+        ingest_web_events(spark, landing, bronze, checkpoints)
+        ingest_ads(spark, landing, bronze, checkpoints)
+        follow(spark, bronze, out)
+    return out
+
+
+def incremental_bridge(spark: SparkSession, directory: str) -> DataFrame:
+    return comparable(open_table(spark, f"{_refreshed(spark, directory)}/bridge_campaign_mapping"))
+
+
+def incremental_spend(spark: SparkSession, directory: str) -> DataFrame:
+    spend = open_table(spark, f"{_refreshed(spark, directory)}/fact_marketing_spend_daily")
+    return comparable(spend.withColumn("has_campaign", F.col("campaign_key").isNotNull()))
+
+
+def incremental_funnel(spark: SparkSession, directory: str) -> DataFrame:
+    out = _refreshed(spark, directory)
+    fact, campaigns, channels = (open_table(spark, f"{out}/{n}") for n in ("fact_web_funnel_daily", "dim_campaign", "dim_channel"))
+    named = fact.join(campaigns.select("campaign_key", "campaign_id"), "campaign_key", "left")
+    return comparable(named.join(channels, "channel_key", "left"))
+
+
 def _land_all_csv(spark: SparkSession, directory: str) -> tuple[str, str, str]:
     """All nine CSV sources; the sellers in another order of columns, with one more."""
     w = tables(spark, directory)
@@ -362,6 +398,21 @@ def _land_all_csv(spark: SparkSession, directory: str) -> tuple[str, str, str]:
     return landing, bronze, checkpoints
 
 
+def ingest_csv_headers(spark: SparkSession, directory: str) -> DataFrame:
+    """Sellers in three files with headers of their own: two orders of columns in the first start, a column more in the
+    second. Earlier rows have no value in the new column."""
+    sellers = tables(spark, directory)["bronze_sellers"].drop(*AUDIT)
+    landing, bronze, checkpoints = _ingest_folders(spark)
+    third = F.coalesce(F.col("seller_zip_code_prefix") % 3, F.lit(0))
+    land_csv(sellers.filter(third == 0), landing, "sellers")
+    land_csv(sellers.filter(third == 1).select(*reversed(sellers.columns)), landing, "sellers")
+    ingest_csv_sources(spark, landing, bronze, checkpoints, ["sellers"], CSV_READ_OPTIONS)
+    noted = sellers.filter(third == 2).select("seller_state", F.concat(F.lit("n"), "seller_id").alias("seller_note"), "seller_id", "seller_zip_code_prefix", "seller_city")
+    land_csv(noted, landing, "sellers")
+    ingest_csv_sources(spark, landing, bronze, checkpoints, ["sellers"], CSV_READ_OPTIONS)
+    return bronze_reader(spark, bronze)("bronze_sellers").drop(*AUDIT)
+
+
 def _csv_summary(read: Callable[[str], DataFrame]) -> DataFrame:
     """Rows per source, and per column how many values it has and how many differ."""
     parts = []
@@ -406,8 +457,12 @@ QUERIES.update(
         "ingest_json_upsert_web_at_once": ingest_json_upsert_web_at_once,
         "ingest_json_upsert_ads": ingest_json_upsert_ads,
         "ingest_csv_all": ingest_csv_all,
+        "ingest_csv_headers": ingest_csv_headers,
         "read_csv_all": read_csv_all,
         "ingest_late_update": ingest_late_update,
+        "incremental_bridge": incremental_bridge,
+        "incremental_spend": incremental_spend,
+        "incremental_funnel": incremental_funnel,
         "sink_json_layout": sink_json_layout,
     }
 )

@@ -2,45 +2,26 @@
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemart.sources.headers import read_by_header
+from tidemart.sources.published import save_table
 
-CORRUPT = "_corrupt_record"
-log = logging.getLogger(__name__)
 
-
-def csv_schema(spark: SparkSession, path: str, schema: str, options: Mapping[str, str] | None = None) -> T.StructType:
-    """The declared types in the order of the files' header, which the CSV reader needs because it goes by position.
-
-    Columns that are not declared are text and are reported; a column that takes rows that cannot be placed is added.
-    Files with another header than the first one fail when they are read (``enforceSchema`` is off).
-    """
-    declared = T.StructType.fromDDL(schema)
-    header = spark.read.option("header", True).options(**(options or {})).option("recursiveFileLookup", True)
+def files_below(spark: SparkSession, path: str) -> list[str]:
+    """All files of a folder and its sub-folders; one short row per file reaches the driver."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     try:
-        names = header.csv(path).columns
-    except AnalysisException as empty:
-        if empty.getCondition() not in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND"):
+        return sorted(r["path"] for r in found.load(path).select("path").collect())
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        names = declared.names  # nothing has landed yet
-    known = {f.name: f for f in declared.fields}
-    for name in names:
-        if name not in known:
-            log.warning("%s has a new column %s", path, name)
-    fields = [known.get(n) or T.StructField(n, T.StringType()) for n in names]
-    return T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])
-
-
-def declared_columns(df: DataFrame, schema: str) -> list[Column]:
-    """The declared columns by name; one that the files lack is NULL."""
-    fields = T.StructType.fromDDL(schema).fields
-    return [F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in fields]
+        return []  # nothing has landed yet
 
 
 def read_csv(
@@ -50,14 +31,13 @@ def read_csv(
     columns: Sequence[str] = (),
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """CSV with a header, columns by name. Without a schema the types are inferred, which reads the files twice."""
-    reader = spark.read.option("header", True).options(**(options or {}))
-    if schema:
-        df = reader.schema(csv_schema(spark, path, schema, options)).option("enforceSchema", False).csv(path)
-        df = df.select(*declared_columns(df, schema))
-    else:
-        df = reader.option("inferSchema", True).csv(path)
-    return df.select(*columns) if columns else df
+    """CSV with a header, columns by each file's own one. Without a schema the types are inferred, which reads the files
+    twice and takes all files to have the same header."""
+    if not schema:
+        df = spark.read.option("header", True).options(**(options or {})).option("inferSchema", True).csv(path)
+        return df.select(*columns) if columns else df
+    df, _ = read_by_header(spark, files_below(spark, path), schema, options)
+    return df.select(*(columns or T.StructType.fromDDL(schema).names))
 
 
 def write_json(
@@ -78,8 +58,7 @@ def write_json(
     spread.write.mode("overwrite").option("maxRecordsPerFile", max_records).json(path)
 
 
-def materialize(df: DataFrame, warehouse: str, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Saves a dataset under its name and returns it as read back, so later plans start from the files."""
-    path = f"{warehouse}/{name}"
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.parquet(path)
+def materialize(df: DataFrame, warehouse: str, name: str, partition_by: str | None = None) -> DataFrame:
+    """Saves a dataset under its name and returns it as read back, so later plans start from the files. Who reads the dataset
+    meanwhile keeps the state before."""
+    return save_table(df, f"{warehouse}/{name}", partition_by)

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.plans.prep import EVENT_TIME_FORMAT
-from tidemart.sources.files import CORRUPT, write_json
+from tidemart.sources.files import write_json
+from tidemart.sources.headers import CORRUPT
 
 # Files and rows per file of a landing run.
 WEB_FILES, WEB_RECORDS = 16, 200_000
@@ -15,9 +16,10 @@ ADS_FILES, ADS_RECORDS = 4, 50_000
 AUDIT = ("ingestion_time", "source_file", "source_api", CORRUPT)
 
 
-def tasks_for(df: DataFrame, least: int, records: int) -> int:
-    """Number of writing tasks: the fixed one, or as many as keep a task to one full file."""
-    return max(least, -(-df.count() // records))
+def tasks_for(df: DataFrame, least: int) -> int:
+    """Number of writing tasks: the fixed one, or more on a cluster that deals its shuffles over more. Files are bounded by
+    their number of records, so nothing has to be counted."""
+    return max(least, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def land_csv(df: DataFrame, landing: str, name: str) -> None:
@@ -33,10 +35,10 @@ CSV_READ_OPTIONS = {"nullValue": "\\N"}
 def land_web(df: DataFrame, landing: str, run: str) -> None:
     """One run folder of web events, clustered by campaign."""
     text = df.drop(*AUDIT).withColumn("event_time", F.date_format("event_time", EVENT_TIME_FORMAT))
-    files = tasks_for(df, WEB_FILES, WEB_RECORDS)
+    files = tasks_for(df, WEB_FILES)
     write_json(text, f"{landing}/web_events/{run}", files, "campaign_id", ["event_id"], WEB_RECORDS)
 
 
 def land_ads(df: DataFrame, landing: str, run: str) -> None:
-    files = tasks_for(df, ADS_FILES, ADS_RECORDS)
+    files = tasks_for(df, ADS_FILES)
     write_json(df.drop(*AUDIT), f"{landing}/api_ads_raw/{run}", files, max_records=ADS_RECORDS)
