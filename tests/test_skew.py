@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemart.operators.sampling import hash_sample
-from tidemart.operators.skew import measure_hot_keys, spread_join
+from tidemart.operators.skew import _pieces, measure_hot_keys, spread_join
 
 
 @pytest.fixture(scope="module")
@@ -36,6 +36,16 @@ def test_size_plays_no_part(left):
     assert measure_hot_keys({"t": (few, ["k"])}, share=1 / 8)["t"]["k"]
 
 
+def test_the_bar_follows_the_cluster(spark):
+    """A key with a 2000th of the rows is five average partitions of 10,000 and nothing among 8."""
+    rows = spark.range(200_000).select(F.when(F.col("id") % 2000 == 0, -1).otherwise(F.col("id")).alias("k"))
+    for partitions, hot in ((8, {}), (1000, {}), (10_000, {spark.sql("SELECT xxhash64(-1L) AS h").first()["h"]: 5})):
+        assert measure_hot_keys({"t": (rows, ["k"])}, partitions=partitions)["t"]["k"] == hot
+    many = spark.range(100_000).select((F.col("id") % 20).alias("k"))  # 20 keys are hot among 1,000 partitions
+    found = measure_hot_keys({"t": (many, ["k"])}, partitions=1000)["t"]["k"]
+    assert len(found) == 20 and set(found.values()) == {50}
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_spread_join_equals_plain_join(left, right, slots, how):
     plain = Counter(tuple(r) for r in left.join(right, "k", how).select("*").collect())
@@ -44,7 +54,7 @@ def test_spread_join_equals_plain_join(left, right, slots, how):
 
 
 def test_hot_key_is_split(left, right, slots):
-    pieces = F.coalesce(*[F.when(F.pmod(F.xxhash64("k"), F.lit(4096)) == s, F.pmod(F.xxhash64("id"), F.lit(n))) for s, n in slots["k"].items()], F.lit(0))
+    pieces = F.pmod(F.xxhash64("id"), _pieces(F.col("k"), slots["k"]))
     largest = left.groupBy("k", pieces.alias("p")).count().agg(F.max("count")).first()[0]
     assert largest < 6000 / 32
 

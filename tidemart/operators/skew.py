@@ -1,60 +1,84 @@
 """Joins whose left side may hold a hot key.
 
-A key that owns a third of the rows would send a third of the left table to one task. ``measure_hot_keys`` finds
+A key with many times the rows of an average shuffle partition would send them all to one task. ``measure_hot_keys`` finds
 such keys with one narrow scan, and ``spread_join`` splits exactly those over many tasks by repeating the few
 matching right rows. Keys that are not hot join as usual, and with nothing hot the plan is a plain join.
 """
 
 from __future__ import annotations
 
+import math
+from collections import defaultdict
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SLOTS = 4096
+#: A key is hot with more rows than so many average partitions of a shuffle.
+FACTOR = 4
+#: With fewer partitions than this no measuring takes place: a key cannot be much larger than a task's share anyway.
+LEAST_PARTITIONS = 16
+#: Keys a summary tracks for each key that can be hot; its counts are off by a small part of the bar.
+TRACKED = 8
+#: Summaries of tasks meet in so many groups before they meet in one.
+GROUPS = 64
 Slots = Mapping[int, int]
 HotKeys = Mapping[str, Slots]
 
 
-def _slot(key: Column) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(SLOTS)).cast("int")
-
-
 def measure_hot_keys(
-    tables: Mapping[str, tuple[DataFrame, Sequence[str]]], share: float = 1 / 256
+    tables: Mapping[str, tuple[DataFrame, Sequence[str]]], share: float | None = None, partitions: int | None = None
 ) -> dict[str, dict[str, dict[int, int]]]:
-    """Table -> column -> hash slot -> number of pieces, for slots with more than ``share`` of the table's rows.
+    """Table -> column -> hash of a hot key -> number of pieces.
+
+    By default a key is hot beyond ``FACTOR`` average partitions, and its pieces are as large as one; ``partitions`` is
+    the session's number of shuffle partitions. With ``share`` it is hot with more than that part of the table's rows.
 
-    One job scans the key columns. It counts per hash slot, not per key, so tasks exchange at most ``SLOTS`` counters
-    per column, and fewer than ``1 / share`` slots per column can pass the test: that bounds what reaches the driver.
-    NULL keys hash to one slot and are measured too. Tables of any size are treated alike.
+    One job scans the key columns. Every task keeps a frequent-items summary of key hashes (Spark's approx_top_k), whose length
+    follows from the bar alone; summaries are merged in two steps. Fewer keys than 1 / bar can pass, which bounds what
+    reaches the driver. NULL keys have one hash and are measured too.
     """
+    found: dict[str, dict[str, dict[int, int]]] = {t: {c: {} for c in cs} for t, (_, cs) in tables.items()}
+    if not tables:
+        return found
+    spark = next(df for df, _ in tables.values()).sparkSession
+    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    unit, bar = (share, share) if share else (1 / partitions, FACTOR / partitions)
+    if bar >= 1 or not share and partitions < LEAST_PARTITIONS:
+        return found
+    most = math.ceil(1 / bar)
+    tracked = min(1_000_000, TRACKED * most)
 
-    def slots(table: str, df: DataFrame, columns: Sequence[str]) -> DataFrame:
-        marks = [F.struct(F.lit(c).alias("column"), _slot(F.col(c)).alias("slot")) for c in columns]
+    def keys(table: str, df: DataFrame, columns: Sequence[str]) -> DataFrame:
+        marks = [F.struct(F.lit(c).alias("column"), F.xxhash64(c).alias("key")) for c in columns]
         return df.select(F.lit(table).alias("table"), F.inline(F.array(*marks)))
 
-    found: dict[str, dict[str, dict[int, int]]] = {t: {c: {} for c in cs} for t, (_, cs) in tables.items()}
-    parts = [slots(table, df, columns) for table, (df, columns) in tables.items()]
-    if not parts:
-        return found
-    counts = (
-        reduce(DataFrame.unionByName, parts).groupBy("table", "column", "slot").agg(F.count(F.lit(1)).alias("n"))
-    )
-    total = F.sum("n").over(Window.partitionBy("table", "column"))
-    hot = (
-        counts.withColumn("bar", total * share)
-        .filter(F.col("n") > F.col("bar"))
-        .withColumn("pieces", F.ceil(F.col("n") / F.greatest("bar", F.lit(1.0))).cast("int"))
-        .filter("pieces > 1")
-    )
-    for row in hot.select("table", "column", "slot", "pieces").collect():
-        found[row["table"]][row["column"]][row["slot"]] = row["pieces"]
+    rows = reduce(DataFrame.unionByName, [keys(table, df, columns) for table, (df, columns) in tables.items()])
+    group = F.pmod(F.spark_partition_id(), F.lit(GROUPS)).alias("group")
+    state, count = F.expr(f"approx_top_k_accumulate(key, {tracked})").alias("state"), F.count(F.lit(1)).alias("n")
+    parts = rows.groupBy("table", "column", group).agg(state, count)
+    whole = parts.groupBy("table", "column").agg(F.expr(f"approx_top_k_combine(state, {tracked})").alias("state"), F.sum("n").alias("rows"))
+    frequent = whole.select("table", "column", "rows", F.inline(F.expr(f"approx_top_k_estimate(state, {most})")))
+    for row in frequent.filter(F.col("count") > F.col("rows") * bar).collect():
+        pieces = math.ceil(row["count"] / max(1.0, row["rows"] * unit))
+        if pieces > 1:
+            found[row["table"]][row["column"]][row["item"]] = pieces
     return found
 
 
+def _pieces(key: Column, hot: Slots) -> Column:
+    """Number of pieces of a key, rounded up to a power of two: the hot hashes then are few sets, which Spark looks up in
+    constant time however many they are."""
+    sets = defaultdict(list)
+    for hashed, n in hot.items():
+        sets[1 << (n - 1).bit_length()].append(hashed)
+    pieces = F.lit(1)
+    for n, hashes in sorted(sets.items()):
+        pieces = F.when(F.xxhash64(key).isin(hashes), n).otherwise(pieces)
+    return pieces
+
+
 def spread_join(
     left: DataFrame,
     right: DataFrame,
@@ -62,8 +86,9 @@ def spread_join(
     hot: Slots | None,
     spread_by: Sequence[str],
     how: str = "left",
+    also: Sequence[str] = (),
 ) -> DataFrame:
-    """``left.join(right, key, how)`` with hot slots split by the hash of ``spread_by``.
+    """``left.join(right, [key, *also], how)`` with hot keys split by the hash of ``spread_by``.
 
     ``spread_by`` are left columns that tell the rows of one key apart, so the split is the same when a lost task
     runs again. ``how`` must keep left rows apart: inner, left, left_semi or left_anti.
@@ -73,9 +98,8 @@ def spread_join(
     if left.schema[key].dataType != right.schema[key].dataType:
         raise TypeError(f"{key} has different types on the two sides")
     if not hot:
-        return left.join(right, key, how)
-    table = F.create_map(*[F.lit(n) for pair in sorted(hot.items()) for n in pair])
-    pieces = F.coalesce(F.try_element_at(table, _slot(F.col(key))), F.lit(1))
+        return left.join(right, [key, *also], how)
+    pieces = _pieces(F.col(key), hot)
     split = left.withColumn("_piece", F.pmod(F.xxhash64(*spread_by), pieces).cast("int"))
     repeated = right.withColumn("_piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
-    return split.join(repeated, [key, "_piece"], how).drop("_piece")
+    return split.join(repeated, [key, *also, "_piece"], how).drop("_piece")

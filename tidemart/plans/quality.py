@@ -101,27 +101,42 @@ REFERENCE_CHECKS: tuple[ReferenceCheck, ...] = (
 )
 
 
-def broken_references(
-    tables: Mapping[str, DataFrame], check: ReferenceCheck, hot: HotKeys | None = None
-) -> DataFrame:
-    """Rows of one table whose reference has no target, as an anti join on the two key columns only."""
-    source = tables[check.table].select(check.column, *[c for c in check.record if c != check.column])
-    if check.optional:
-        source = source.filter(F.col(check.column).isNotNull())
-    known = tables[check.target].select(check.column)
-    missing = spread_join(source, known, check.column, (hot or {}).get(check.column), check.record, "left_anti")
-    return missing.select(
-        F.lit(check.name).alias("check_name"),
-        F.lit(check.table).alias("source_table"),
-        F.concat_ws("-", *check.record).alias("record_key"),
-        F.col(check.column).alias("missing_reference_key"),
-        F.lit(f"{check.column}_not_found").alias("issue_type"),
-    )
+def _references(tables: Mapping[str, DataFrame], table: str) -> DataFrame:
+    """All references of one table in one pass: a row for each of its rows and checks."""
+    checks = [c for c in REFERENCE_CHECKS if c.table == table]
+    marks = [
+        F.struct(
+            F.lit(c.name).alias("check_name"),
+            F.lit(c.target).alias("target"),
+            F.concat_ws("-", *c.record).alias("record_key"),
+            F.col(c.column).alias("missing_reference_key"),
+            F.lit(f"{c.column}_not_found").alias("issue_type"),
+            F.lit(c.optional).alias("optional"),
+        )
+        for c in checks
+    ]
+    rows = tables[table].select(F.lit(table).alias("source_table"), F.inline(F.array(*marks)))
+    return rows.filter("NOT optional OR missing_reference_key IS NOT NULL").drop("optional")
 
 
 def referential_integrity_issues(
     tables: Mapping[str, DataFrame], hot: Mapping[str, HotKeys] | None = None
 ) -> DataFrame:
-    """All broken references. ``hot`` maps a table name to its measured hot keys."""
-    found = [broken_references(tables, check, (hot or {}).get(check.table)) for check in REFERENCE_CHECKS]
-    return reduce(DataFrame.unionByName, found).withColumn("detected_at", F.current_timestamp())
+    """All broken references. ``hot`` maps a table name to its measured hot keys.
+
+    The references of all tables meet the keys of all targets in one join by target and key, so every table is read once as a
+    source and once as a target, and every key moves once. The optimizer would take an anti join apart, into one for each
+    table with all targets anew; a left join stays whole, and target keys are unique, so it repeats no row.
+    """
+    references = reduce(DataFrame.unionByName, [_references(tables, t) for t in dict.fromkeys(c.table for c in REFERENCE_CHECKS)])
+    targets = dict.fromkeys((c.target, c.column) for c in REFERENCE_CHECKS)
+    known = [tables[t].select(F.lit(t).alias("target"), F.col(c).alias("missing_reference_key")) for t, c in targets]
+    split: dict[int, int] = {}
+    for c in REFERENCE_CHECKS:
+        for key, pieces in (hot or {}).get(c.table, {}).get(c.column, {}).items():
+            split[key] = max(pieces, split.get(key, 0))
+    there = reduce(DataFrame.unionByName, known).withColumn("there", F.lit(True))
+    joined = spread_join(references, there, "missing_reference_key", split, ["record_key"], "left", ["target"])
+    missing = joined.filter("there IS NULL")
+    columns = ("check_name", "source_table", "record_key", "missing_reference_key", "issue_type")
+    return missing.select(*columns, F.current_timestamp().alias("detected_at"))

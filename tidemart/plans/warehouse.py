@@ -186,7 +186,7 @@ class Warehouse:
         bronze: Callable[[str], DataFrame],
         folder: str = "",
         shared: tuple[str, ...] = (),
-        hot_share: float = 1 / 256,
+        hot_share: float | None = None,
     ) -> None:
         self._bronze = bronze
         self._hot_share = hot_share
