@@ -8,7 +8,8 @@ compatible with its predecessor and steps back where none is; a position found t
 the work is linear in the length of the word.
 
 Vocabulary files are JSON of a word-end BPE model (byte-level alphabet, lower case, white space dropped). Words repeat,
-so a task keeps the ids of the words it has seen, up to a bound; that changes no result.
+so a worker remembers the ids of words, and of runs of text between blanks, in two generations: when the younger one is
+full it becomes the older one, and what is used again moves back. Memory is bounded, frequent words stay, and no result changes.
 
 A null text counts as empty; an empty text has no ids and decodes to an empty text. Any length of text and word is fine.
 """
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 import unicodedata
 from collections.abc import Iterator
 from functools import partial
@@ -31,8 +33,10 @@ from pyspark.sql import functions as F
 
 from .tables import texts_of
 
-#: Words (and token pairs) that a task remembers.
-REMEMBERED = 100_000
+#: Words, runs between blanks, and token pairs that a worker remembers in each of two generations.
+WORDS, RUNS, PAIRS = 150_000, 60_000, 100_000
+#: Signs that end a run without changing the word before them.
+STOPS = b".,;:!?"
 #: Rows whose ids are sent back at once.
 ROWS_AT_ONCE = 512
 #: A symbol at the end of a word is another symbol than the same byte inside it.
@@ -53,18 +57,43 @@ class JoinedTable:
 
     def __init__(self, strings: list[bytes]):
         self.buffer = np.frombuffer(b"".join(s + b" " for s in strings), np.uint8)
-        self.offsets = np.concatenate([[0], np.cumsum([len(s) + 1 for s in strings])]).astype(np.int64)
+        self.offsets = np.concatenate([[0], np.cumsum([len(s) + 1 for s in strings])]).astype(np.int32)
 
     def render(self, ids: np.ndarray) -> bytes:
         if not len(ids):
             return b""
         starts = self.offsets[ids]
         lengths = self.offsets[ids + 1] - starts
-        ends = np.cumsum(lengths)
-        at = np.arange(ends[-1]) + np.repeat(starts - (ends - lengths), lengths)
+        ends = np.cumsum(lengths, dtype=np.int64)
+        kind = np.int32 if ends[-1] < 1 << 31 else np.int64
+        at = np.arange(ends[-1], dtype=kind) + np.repeat((starts - (ends - lengths)).astype(kind), lengths)
         return self.buffer[at][:-1].tobytes()
 
 
+class Memory:
+    """Values by key in two generations of at most ``size`` each."""
+
+    def __init__(self, size: int):
+        self.size, self.young, self.old = size, {}, {}
+
+    def put(self, key, value) -> None:
+        if len(self.young) >= self.size:
+            self.old, self.young = self.young, {}
+        self.young[key] = value
+
+    def put_all(self, values: dict) -> None:
+        """Adds many at once; a generation may exceed its size by them."""
+        self.young.update(values)
+        if len(self.young) >= self.size:
+            self.old, self.young = self.young, {}
+
+    def get(self, key):
+        value = self.young.get(key)
+        if value is None and (value := self.old.get(key)) is not None:
+            self.put(key, value)
+        return value
+
+
 class WordBpe:
     """Encoder and decoder for one vocabulary file."""
 
@@ -90,7 +119,7 @@ class WordBpe:
             if self.halves[made] is None:
                 self.rank[made], self.halves[made] = rank, (left, right)
                 symbols[made] = symbols[left] + symbols[right]
-        by_symbols = {s: t for t, s in symbols.items()}
+        by_symbols = self.by_symbols = {s: t for t, s in symbols.items()}
         self.length = [len(symbols.get(t, "")) for t in range(size)]
         self.shorter: list = [None] * size
         for t, s in symbols.items():
@@ -100,8 +129,7 @@ class WordBpe:
             self.automaton.add_word(s[::-1], t)
         self.automaton.make_automaton()
         self.last = {b: chr(LAST + b) for b in range(256)}
-        self.compatible_pairs: dict[int, bool] = {}
-        self.words: dict[bytes, bytes] = {}
+        self.compatible_pairs, self.words, self.runs = Memory(PAIRS), Memory(WORDS), Memory(RUNS)
         self.token_table = JoinedTable([self.strings.get(t, "").encode() for t in range(size)])
 
     def compatible(self, left: int, right: int) -> bool:
@@ -109,9 +137,8 @@ class WordBpe:
         both = left << 32 | right
         known = self.compatible_pairs.get(both)
         if known is None:
-            if len(self.compatible_pairs) >= REMEMBERED:
-                self.compatible_pairs.clear()
-            known = self.compatible_pairs[both] = self._stay_apart(left, right)
+            known = self._stay_apart(left, right)
+            self.compatible_pairs.put(both, known)
         return known
 
     def _stay_apart(self, left: int, right: int) -> bool:
@@ -130,57 +157,74 @@ class WordBpe:
                 return True
 
     def _of_symbols(self, word: str) -> list[int]:
-        n = len(word)
-        longest = [0] * n
-        for end, t in self.automaton.iter(word[::-1]):
-            start = n - 1 - end
-            if not longest[start] or self.length[t] > self.length[longest[start] - 1]:
-                longest[start] = t + 1
+        whole = self.by_symbols.get(word)
+        if whole is not None:
+            return [whole]  # the longest token at the start is the whole word
+        n, length, shorter = len(word), self.length, self.shorter
+        # The automaton gives the matches that end at a place from the longest to the shortest; the first one remains.
+        longest = dict(list(self.automaton.iter(word[::-1]))[::-1])
+        fits, compatible = self.compatible_pairs.young.get, self.compatible
         tokens: list[int] = []
-        alive = bytearray(b"\1") * (n + 1)
-        at, t = 0, longest[0] - 1
+        dead: set[int] = set()
+        at, t, last = 0, longest[n - 1], None
         while at < n:
             while t is not None:
-                end = at + self.length[t]
-                if alive[end] and (not tokens or self.compatible(tokens[-1], t)):
-                    break
-                t = self.shorter[t]
+                end = at + length[t]
+                if end not in dead:
+                    if last is None:
+                        break
+                    fit = fits(last << 32 | t)
+                    if fit or (fit is None and compatible(last, t)):
+                        break
+                t = shorter[t]
             if t is None:
-                alive[at] = 0
+                dead.add(at)
                 t = tokens.pop()
-                at -= self.length[t]
-                t = self.shorter[t]
+                at -= length[t]
+                last = tokens[-1] if tokens else None
+                t = shorter[t]
             else:
                 tokens.append(t)
-                at = end
-                t = longest[at] - 1 if at < n else None
+                at, last = end, t
+                t = longest[n - 1 - at] if at < n else None
         return tokens
 
+    def _of_word(self, word: bytes) -> bytes:
+        """Ids of one word of the pattern, in lower case, as little-endian unsigned 32-bit integers."""
+        known = self.words.get(word)
+        if known is None:
+            ids = self._of_symbols(word[:-1].decode("latin-1") + self.last[word[-1]])
+            known = struct.pack(f"<{len(ids)}I", *ids)
+            self.words.put(word, known)
+        return known
+
     def _of_run(self, run: bytes) -> bytes:
-        """Ids of a text without ASCII white space, as little-endian unsigned 32-bit integers."""
-        ids: list[int] = []
+        """Ids of a text without ASCII white space."""
+        stem = run.rstrip(STOPS)
+        if stem.isalpha():  # ASCII letters: one word, and the stops after it another one
+            ids = self._of_word(stem.lower())
+            return ids + self._of_word(run[len(stem) :]) if len(stem) < len(run) else ids
+        out = []
         for part in self.special_pattern.split(run):
             if part in self.special:
-                ids.append(self.special[part])
+                out.append(np.array([self.special[part]], "<u4").tobytes())
                 continue
             # Lower case is taken character by character: a capital sigma at a word's end has no form of its own.
             text = unicodedata.normalize("NFC", part.decode("utf-8", "replace")).replace("Σ", "σ").lower()
-            for word in WORD_PATTERN.findall(text):
-                raw = word.encode()
-                ids += self._of_symbols(raw[:-1].decode("latin-1") + self.last[raw[-1]])
-        return np.array(ids, "<u4").tobytes()
+            out += [self._of_word(word.encode()) for word in WORD_PATTERN.findall(text)]
+        return b"".join(out)
 
     def encode(self, text: bytes) -> np.ndarray:
         """Ids of a UTF-8 text."""
-        words = self.words
-        if len(words) >= REMEMBERED:
-            words.clear()
-        out = []
-        for run in text.split():
-            known = words.get(run)
-            if known is None:
-                known = words[run] = self._of_run(run)
-            out.append(known)
+        runs = text.split()
+        out = list(map(self.runs.young.get, runs))
+        at = -1
+        for _ in range(out.count(None)):
+            at = out.index(None, at + 1)
+            out[at] = self.runs.get(runs[at])
+            if out[at] is None:
+                out[at] = self._of_run(runs[at])
+                self.runs.put(runs[at], out[at])
         return np.frombuffer(b"".join(out), "<u4")
 
     def decode(self, ids: np.ndarray) -> bytes:
