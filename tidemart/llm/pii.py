@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemart.operators.sampling import hash_border
+
 from .tables import texts_of
 
 KINDS = ("email", "ip", "card", "phone")
@@ -58,7 +60,7 @@ def is_card(text: str) -> bool:
 
 
 def is_address(parts: list[str]) -> bool:
-    return len(parts) == 4 and all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in parts)
+    return len(parts) == 4 and all(len(d := p.lstrip("0")) <= 3 and int(d or "0") <= 255 for p in parts)
 
 
 def emails(text: str) -> Iterator[tuple[int, int]]:
@@ -328,10 +330,15 @@ def train(texts: list[str], seed: int = 5, windows: int = TRAIN_WINDOWS, epochs:
     return net
 
 
-def fit(docs: DataFrame) -> Network:
-    """Trains on stretches of FIT_TEXTS documents, taken in the order of a hash of their id."""
-    some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.substring(F.col("text").cast("string"), 1, FIT_CHARS).alias("text")).filter("text IS NOT NULL")
-    return train([r["text"] for r in some.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(FIT_TEXTS).collect()])
+def fit(docs: DataFrame, texts: int = FIT_TEXTS) -> Network:
+    """Trains on one stretch of FIT_CHARS characters from each of ``texts`` documents: those with the smallest hash of their id,
+    each stretch at a place that another hash gives."""
+    whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("whole")).filter("whole IS NOT NULL")
+    hashed = F.xxhash64("doc_id")
+    few = whole.filter(hashed <= hash_border(whole, hashed, texts))
+    begin = F.pmod(F.xxhash64(F.lit("begin"), "doc_id"), F.greatest(F.length("whole") - FIT_CHARS, F.lit(0)) + 1)
+    some = few.select("doc_id", F.substr("whole", (begin + 1).cast("int"), F.lit(FIT_CHARS)).alias("text"))
+    return train([r["text"] for r in some.orderBy(hashed, "doc_id", "text").limit(texts).collect()])
 
 
 # --- tagging -------------------------------------------------------------------------------------------------------

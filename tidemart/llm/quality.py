@@ -22,6 +22,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemart.operators.sampling import hash_border
+
 BUCKETS = 1 << 16
 #: Raw occurrences per bucket by which the trusted counts are smoothed.
 PRIOR = 100.0
@@ -52,7 +54,8 @@ def _buckets() -> Column:
 def trusted_ids(labels: DataFrame, rows: int = TRUSTED_ROWS) -> DataFrame:
     """doc_id of documents labelled as good; at most ``rows``."""
     good = labels.filter("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    return good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    hashed = F.xxhash64("doc_id")
+    return good.filter(hashed <= hash_border(good, hashed, rows)).orderBy(hashed, "doc_id").limit(rows)
 
 
 def log_ratios(docs: DataFrame, trusted: DataFrame) -> list[int]:

@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemart.operators.sampling import hash_border
+
 from .tables import saved, texts_of
 
 SIZES = (3, 4, 5)
@@ -113,9 +115,13 @@ COUNTS = [f"c{k}" for k in range(2 * FOLDS)]
 def labelled_sample(labels: DataFrame, fit_rows: int) -> DataFrame:
     """doc_id, toxic: at most ``fit_rows`` labels of each class, by the hash of their id."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter("doc_id IS NOT NULL AND toxic IN (0, 1)")
-    order = [F.xxhash64("doc_id"), "doc_id"]
-    taken = [known.filter(F.col("toxic") == y).orderBy(*order).limit(fit_rows) for y in (0, 1)]
-    return taken[0].unionByName(taken[1])
+    hashed = F.xxhash64("doc_id")
+
+    def of_class(y: int) -> DataFrame:
+        rows = known.filter(F.col("toxic") == y)
+        return rows.filter(hashed <= hash_border(rows, hashed, fit_rows)).orderBy(hashed, "doc_id").limit(fit_rows)
+
+    return of_class(0).unionByName(of_class(1))
 
 
 def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, cut: float = 0.7) -> Model:
