@@ -32,8 +32,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
+from tidemart.operators.sampling import hash_border
+
 from .components import SALT, smallest_reachable
-from .tables import rows_that_stay, saved, texts_of
+from .tables import saved, texts_of
 
 BITS = 64
 SEED = 42
@@ -164,7 +166,8 @@ def allotted(costs: list[list[float]], total: int) -> tuple[float, list[int]]:
 def search_plan(fps: DataFrame, max_distance: int) -> list[tuple[list[int], int]]:
     """(bits, threshold) of each probed partition, at the least estimated cost."""
     n, p, corr = correlation(fps)
-    picked = fps.orderBy(F.xxhash64("fp"), "fp").limit(ESTIMATE_SAMPLE).collect()
+    hashed = F.xxhash64("fp")
+    picked = fps.filter(hashed <= hash_border(fps, hashed, ESTIMATE_SAMPLE)).orderBy(hashed, "fp").limit(ESTIMATE_SAMPLE).collect()
     sample = _bits(np.array([r["fp"] for r in picked], np.int64)) if picked else np.zeros((0, BITS), np.uint8)
     plans = []
     for parts in range(1, max_distance + 2):
@@ -260,16 +263,21 @@ def _with_component(marked: DataFrame, named: DataFrame) -> DataFrame:
 
 
 def without_near_duplicates(docs: DataFrame, shingle: int = 3, max_distance: int = 2) -> DataFrame:
-    """One row of ``docs`` per component, with its columns: the one with the smallest doc_id. A component whose rows
-    have no id keeps one row of each fingerprint."""
+    """One row of ``docs`` per component, with its columns: the one with the smallest doc_id, a null one only if no other has an
+    id. Of rows that share that id, one stays. The rows are written once with their fingerprint, so none is computed twice."""
 
     @F.pandas_udf(LongType())
     def mark(text: pd.Series) -> pd.Series:
         return pd.Series([fingerprint(t, shingle) for t in texts_of(pa.array(text.tolist(), pa.large_string(), from_pandas=True))], dtype="int64")
 
-    marked = near_duplicates(docs, shingle, max_distance)
-    stay = marked.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", F.col("fp").alias("mark"))
-    return rows_that_stay(docs, mark(F.col("text").cast("string")), stay)
+    rows = saved(docs.withColumns({"__near_fp": mark(F.col("text").cast("string")), "__near_row": F.monotonically_increasing_id()}), "marked-rows")
+    doc_id = F.col("doc_id").cast("long")
+    first = F.min(F.struct(doc_id.isNull().alias("none"), doc_id.alias("doc_id"), F.col("__near_row").alias("row")))
+    fps = saved(rows.groupBy(F.col("__near_fp").alias("fp")).agg(first.alias("first")), "distinct")
+    roots = smallest_reachable(links(fps.select("fp"), max_distance)).select(F.col("node").alias("fp"), "root")
+    grouped = fps.join(roots, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root"))
+    stay = grouped.agg(F.min("first").alias("first")).select(F.col("first.row").alias("__near_row"))
+    return rows.join(stay, "__near_row", "left_semi").select(*docs.columns)
 
 
 def fingerprint_text() -> F.Column:
