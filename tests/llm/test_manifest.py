@@ -80,7 +80,7 @@ def test_manifest_matches_brute_force_on_awkward_rows(awkward):
     assert as_manifest(merkle.proofs(some, tampered)) == manifest(rows, tamper)
 
 
-@pytest.mark.parametrize("sizes", [[1], [16], [17], [1, 1], [300, 1, 16, 257], [2] * 40])
+@pytest.mark.parametrize("sizes", [[1], [16, 17], [300, 1, 16, 257], [2] * 40])
 def test_manifest_of_trees_of_many_shapes(spark, sizes, monkeypatch):
     monkeypatch.setattr(merkle, "CLIMBERS", 3)  # many copies of upper nodes
     rng = random.Random(3)
@@ -219,7 +219,7 @@ def spelled(counts, ratio=10):
     return {(w, form[w], root[w], n, len(near[w]), counts.get(form[w])) for w, n in counts.items()}
 
 
-@pytest.mark.parametrize("alphabet, block", [(None, 64), (2, 1), (3, 5), (26, 64)])
+@pytest.mark.parametrize("alphabet, block", [(None, 64), (2, 1), (26, 5)])
 def test_variants_match_brute_force(spark, monkeypatch, alphabet, block):
     monkeypatch.setattr(spelling, "BLOCK", block)
     rng = random.Random(9)
