@@ -13,7 +13,7 @@ from tidemart.schemas import CSV_SOURCES
 from tidemart.sources.files import files_below, read_csv, write_json
 from tidemart.sources.headers import read_by_header
 from tidemart.sources.published import open_table, replace_parts, save_table, state_of
-from tidemart.sources.scratch import scratch_folder
+from tidemart.sources.scratch import scratch_folder, scratch_removed
 from tidemart.streaming.ingest import (
     ADS_KEYS,
     WEB_KEYS,
@@ -267,6 +267,17 @@ def test_csv_goes_by_header_names(spark, folders, tmp_path, caplog):
     assert spark.read.parquet(f"{folders[1]}/bronze_sellers").count() == 2  # the unreadable row keeps its text
 
 
+def test_scratch_is_removed(spark):
+    kept = Path(scratch_folder(spark).removeprefix("file:"))
+    with scratch_removed(spark):
+        folder = scratch_folder(spark)
+        spark.range(3).write.parquet(f"{folder}/t")
+        assert Path(folder.removeprefix("file:"), "t").is_dir()
+    assert not Path(folder.removeprefix("file:")).exists()
+    spark.range(3).write.parquet(f"{kept}/t")
+    assert kept.exists()
+
+
 def test_every_file_goes_by_its_own_header(spark, tmp_path, folders, caplog):
     schema = "id string, n int"
     write(str(tmp_path / "in" / "a.csv"), "id,n", "s1,1")

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -28,9 +31,27 @@ def scratch_folder(spark: SparkSession) -> str:
     return folder
 
 
-def remove_scratch(spark: SparkSession) -> None:
-    """Deletes all folders this session has made, once their tables are no longer read."""
+def remove_scratch(spark: SparkSession, before: int = 0) -> None:
+    """Deletes the folders this session has made after the first ``before`` ones, once their tables are no longer read."""
     conf = spark._jsc.hadoopConfiguration()
-    while _made:
+    while len(_made) > before:
         path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
         path.getFileSystem(conf).delete(path, True)
+
+
+@contextmanager
+def scratch_removed(spark: SparkSession) -> Iterator[None]:
+    """Deletes what is made inside: for callers who are done with a result when they leave."""
+    before = len(_made)
+    try:
+        yield
+    finally:
+        remove_scratch(spark, before)
+
+
+@atexit.register
+def _remove_at_exit() -> None:
+    """What nobody removed goes with the driver, if its session still runs then."""
+    spark = SparkSession._instantiatedSession
+    if _made and spark is not None and spark._jsc is not None and spark._jsc.sc() is not None and not spark._jsc.sc().isStopped():
+        remove_scratch(spark)
