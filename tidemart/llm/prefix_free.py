@@ -152,13 +152,17 @@ def _rows_of(parts: list[tuple[int, int, int, bytes]], width: int) -> np.ndarray
     return np.stack([seed.view(np.int64), np.array(name, np.uint64).view(np.int64), doc, mark, place])
 
 
-def _in_order(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The rows sorted, and which of them are later copies of their group's first row (same seed and name)."""
-    rows = rows[:, np.lexsort(rows[::-1])]
+def _new_groups(rows: np.ndarray) -> np.ndarray:
+    """Which rows, in order, begin another seed and name."""
     new = np.ones(rows.shape[1], bool)
     new[1:] = (rows[:2, 1:] != rows[:2, :-1]).any(0)
+    return new
+
+
+def _later_copies(rows: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """Which rows, in order, are later copies of their group's first row; a row that repeats it wholly is not."""
     first = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
-    return rows, (rows[2:] != rows[2:, first]).any(0)
+    return (rows[2:] != rows[2:, first]).any(0)
 
 
 def _emitted(rows: np.ndarray, names: list[str]) -> Iterator[pa.RecordBatch]:
@@ -171,8 +175,14 @@ def _parsed(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Record
     held: list[np.ndarray] = []
 
     def combined() -> Iterator[pa.RecordBatch]:
-        rows, gone = _in_order(np.concatenate(held, axis=1))
+        rows = np.concatenate(held, axis=1)
         held.clear()
+        order = np.argsort(rows[1])
+        same = np.zeros(len(order) + 1, bool)
+        same[1:-1] = rows[1, order[1:]] == rows[1, order[:-1]]
+        often = order[same[1:] | same[:-1]]  # rows whose name the task has twice
+        often = often[np.lexsort(rows[::-1, often])]
+        gone = often[_later_copies(rows[:, often], _new_groups(rows[:, often]))]
         # A copy of a row that this task has earlier is settled; its key spreads it anywhere.
         rows[4, gone] = rows[4, gone] >> WINDOWS << WINDOWS | GONE << BEFORE
         rows[:2, gone] = _mixed((rows[3, gone] ^ rows[4, gone]).view(np.uint64)).view(np.int64)
@@ -206,9 +216,8 @@ def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carried = last is not None
         if carried:
             rows = np.concatenate([last[:, None], rows], axis=1)
-        rows, gone = _in_order(rows)
-        new = np.ones(rows.shape[1], bool)
-        new[1:] = (rows[:2, 1:] != rows[:2, :-1]).any(0)
+        new = _new_groups(rows)
+        gone = _later_copies(rows, new)
         heads = rows[:, new]
         last = heads[:, -1]
         edge = (heads[0] == heads[0, 0]) | (heads[0] == heads[0, -1])
@@ -261,15 +270,18 @@ def _first_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     held: list[tuple] = []
 
     def combined() -> pa.RecordBatch:
-        held.sort(key=lambda r: r[:3] + r[6:] + r[3:6])
-        out, head = [], None
+        first: dict[tuple, tuple] = {}
+        for cell, _, body, doc, mark, at, before in held:
+            key, place = (cell, before, body), (doc, mark, at)
+            if place < first.setdefault(key, place):
+                first[key] = place
+        out = []
         for row in held:
-            if head and row[:3] == head[:3] and row[6] == head[6] and row[3:6] != head[3:6]:
-                spread = xxhash.xxh3_64_digest(b"%d %d" % (row[4], row[5]))
-                out.append((-1, spread, len(row[2]).to_bytes(4, "big"), *row[3:7], True))
+            if row[3:6] == first[row[0], row[6], row[2]]:
+                out.append((*row, False))
             else:
-                out.append((*row[:7], False))
-                head = row
+                spread = xxhash.xxh3_64_digest(b"%d %d" % (row[4], row[5]))
+                out.append((-1, spread, len(row[2]).to_bytes(4, "big"), *row[3:], True))
         held.clear()
         return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), _PIECE_TYPES)], names=[c.split()[0] for c in PIECES.split(", ")])
 
@@ -328,7 +340,7 @@ def _round(pieces: DataFrame, cell: int, width: int) -> DataFrame:
     cut = cells.withColumn("body", F.expr(f"substring(body, CAST(before - hi + 1 AS INT), CAST(hi - lo + {width} AS INT))"))
     common = F.expr(f"substring(body, CAST(hi - cell * {cell} + 1 AS INT), {width - cell + 1})")
     cut = cut.select("cell", common.alias("common"), "body", "doc", "mark", (F.col("at") + F.col("before") - F.col("hi")).alias("at"), F.col("hi").alias("before"))
-    combined = cut.mapInArrow(_first_pieces, PIECES)
+    combined = saved(cut.mapInArrow(_first_pieces, PIECES), f"phrase-cells-{cell}")
     order = ["cell", "common", "body", "before", "doc", "mark", "at"]
     ranged = combined.repartitionByRange("cell", "common", "body", "before").sortWithinPartitions(*order)
     return ranged.mapInArrow(_neighbours, "body binary, doc long, mark long, at long, before int, gone boolean, size int")
@@ -366,9 +378,9 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     if not TRIGGER + 2 <= width <= TRIGGER + 100:
         raise ValueError("width is out of range")
     texts = _as_documents(docs)
-    parsed = texts.mapInArrow(partial(_parsed, width=width), ROWS)
+    parsed = saved(texts.mapInArrow(partial(_parsed, width=width), ROWS), "phrases")
     ordered = parsed.repartitionByRange("seed", "name").sortWithinPartitions("seed", "name", "doc", "mark", "place")
-    found = saved(ordered.mapInArrow(_judged, "doc long, mark long, place long, gone boolean"), "phrases")
+    found = saved(ordered.mapInArrow(_judged, "doc long, mark long, place long, gone boolean"), "phrases-judged")
     at, windows = F.shiftright("place", OFFSET), F.shiftright("place", WINDOWS).bitwiseAND(F.lit(127))
     spans = [found.filter("gone").select("doc", "mark", at.alias("start"), (at + windows + width - 1).alias("stop"))]
     onward = found.filter("NOT gone").groupBy("doc", "mark").agg(F.collect_set("place").alias("places"))
