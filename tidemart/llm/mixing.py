@@ -140,14 +140,11 @@ def mixture(docs_units: DataFrame, sources: DataFrame, seed: int = SEED) -> Data
 
 
 def mixed(docs: DataFrame, target_entropy: float = TARGET_ENTROPY, most_repeats: float = MOST_REPEATS, budget: int | None = None) -> DataFrame:
-    """The mixture of whole rows: every row of ``docs`` as often as its unit is in the mixture, with its columns. The rows come
-    in the order of blocks and places: range-sorted, so each file holds consecutive blocks."""
+    """The mixture of whole rows: every row of ``docs`` as often as its unit is in the mixture, with its columns, in no order. Who
+    wants the order of blocks takes it from ``mixture``: bringing every copy of a text to its block moves the whole mixture once more."""
     found = saved(units(docs), "mixing-units")
     chosen = mixture(found, saved(plan(found, target_entropy, most_repeats, budget), "mixing-plan"))
-    seats = F.array_sort(F.collect_list(F.struct("block", "place", "copy")))  # copies of one unit, a bounded number by the repetitions
-    seated = chosen.groupBy("doc_id", "source").agg(seats.alias("_seats")).select(F.col("doc_id").alias("_mix_id"), F.col("source").alias("_mix_source"), "_seats")
+    times = chosen.groupBy("doc_id", "source").agg(F.count("*").cast("int").alias("_times")).select(F.col("doc_id").alias("_mix_id"), F.col("source").alias("_mix_source"), "_times")
     own = docs.withColumns({"_own_id": F.col("doc_id").cast("long"), "_own_source": F.col("source").cast("string")})
-    joined = own.join(seated, F.col("_own_id").eqNullSafe(F.col("_mix_id")) & F.col("_own_source").eqNullSafe(F.col("_mix_source")))
-    rows = joined.withColumn("_seat", F.explode("_seats"))
-    order = [F.col("_seat.block"), F.col("_seat.place"), F.col("_own_id")]
-    return rows.repartitionByRange(*order).sortWithinPartitions(*order).select(*docs.columns)
+    joined = own.join(times, F.col("_own_id").eqNullSafe(F.col("_mix_id")) & F.col("_own_source").eqNullSafe(F.col("_mix_source")))
+    return joined.withColumn("_nth", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
