@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from .tables import texts_of
 
 #: Words, runs between blanks, and token pairs that a worker remembers in each of two generations.
-WORDS, RUNS, PAIRS = 150_000, 60_000, 100_000
+WORDS, RUNS, PAIRS = 80_000, 30_000, 50_000
 #: Signs that end a run without changing the word before them.
 STOPS = b".,;:!?"
 #: Rows whose ids are sent back at once.
