@@ -37,7 +37,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import saved, texts_of
+from .tables import discard, saved, texts_of
 
 WIDTH, TRIGGER = 100, 24
 #: Window starts per cell in the rounds of the dictionary order.
@@ -332,8 +332,8 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _round(pieces: DataFrame, cell: int, width: int) -> DataFrame:
-    """One round of the dictionary order over body, doc, mark, at, before; returns body (null if gone), doc, mark, at, before,
-    gone, size (bytes)."""
+    """One round of the dictionary order over body, doc, mark, at, before; returns, saved, body (null if gone), doc, mark, at,
+    before, gone, size (bytes)."""
     least = F.expr(f"before - (octet_length(body) - {width})")
     cells = pieces.withColumn("least", least).withColumn("cell", F.explode(F.expr(f"sequence(CAST(least DIV {cell} AS INT), CAST(before DIV {cell} AS INT))")))
     cells = cells.withColumn("hi", F.expr(f"CAST(least(before, cell * {cell} + {cell - 1}) AS INT)")).withColumn("lo", F.expr(f"greatest(least, cell * {cell})"))
@@ -343,7 +343,10 @@ def _round(pieces: DataFrame, cell: int, width: int) -> DataFrame:
     combined = saved(cut.mapInArrow(_first_pieces, PIECES), f"phrase-cells-{cell}")
     order = ["cell", "common", "body", "before", "doc", "mark", "at"]
     ranged = combined.repartitionByRange("cell", "common", "body", "before").sortWithinPartitions(*order)
-    return ranged.mapInArrow(_neighbours, "body binary, doc long, mark long, at long, before int, gone boolean, size int")
+    kinds = "body binary, doc long, mark long, at long, before int, gone boolean, size int"
+    judged = saved(ranged.mapInArrow(_neighbours, kinds), f"phrase-suffixes-{cell}")
+    discard(combined)
+    return judged
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -381,6 +384,7 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     parsed = saved(texts.mapInArrow(partial(_parsed, width=width), ROWS), "phrases")
     ordered = parsed.repartitionByRange("seed", "name").sortWithinPartitions("seed", "name", "doc", "mark", "place")
     found = saved(ordered.mapInArrow(_judged, "doc long, mark long, place long, gone boolean"), "phrases-judged")
+    discard(parsed)
     at, windows = F.shiftright("place", OFFSET), F.shiftright("place", WINDOWS).bitwiseAND(F.lit(127))
     spans = [found.filter("gone").select("doc", "mark", at.alias("start"), (at + windows + width - 1).alias("stop"))]
     onward = found.filter("NOT gone").groupBy("doc", "mark").agg(F.collect_set("place").alias("places"))
@@ -388,7 +392,7 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     bodies = packed.join(onward, ["doc", "mark"]).select("doc", "mark", "packed", "places")
     pieces = saved(bodies.mapInArrow(partial(_pieces, width=width), "body binary, doc long, mark long, at long, before int"), "phrase-bodies")
     for cell in CELLS:
-        judged = saved(_round(pieces, cell, width), f"phrase-suffixes-{cell}")
+        judged = _round(pieces, cell, width)
         spans.append(judged.filter("gone").select("doc", "mark", F.col("at").alias("start"), (F.col("at") + F.col("size")).alias("stop")))
         pieces = judged.filter("NOT gone").select("body", "doc", "mark", "at", "before")
     return reduce(DataFrame.union, spans)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidemart.sources.published import remove
 from tidemart.sources.scratch import scratch_folder
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -35,6 +36,12 @@ def saved(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Deletes the files of a saved table that nothing reads any more."""
+    for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        remove(table.sparkSession, folder)
+
+
 def lower_ascii(column):
     return F.translate(column, ASCII_UPPER, ASCII_UPPER.lower())
 
