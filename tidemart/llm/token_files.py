@@ -25,7 +25,6 @@ equal ids by their text. An empty table gives files without documents, or none.
 from __future__ import annotations
 
 import io
-import re
 import struct
 import uuid
 import zlib
@@ -34,15 +33,18 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bpe import Memory
 from .tables import new_folder, texts_of
 
 FRAME_BYTES = 1 << 18
+#: Runs that a worker remembers in each of two generations.
 REMEMBERED = 400_000
 # Fixed values of the public zstandard and seekable formats.
 SKIPPABLE, SEEK_FRAME, SEEK_MAGIC, WITH_CHECKSUMS = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1, 0x80
@@ -148,9 +150,12 @@ class TokenFile:
 class LibraryEncoder:
     """Ids by the tokenizers library, as UTF-8 text to little-endian unsigned 32-bit integers."""
 
-    #: White space other than blank and line feed; pairs of white space; the start of a special token.
-    OTHER_SPACE = re.compile(r"[^\S \n]")
-    UNSAFE = ("  ", "\n\n", " \n", "\n ", "<|", "\0")
+    #: Texts that go to the library whole: empty, with white space at an end, in pairs, or other than blank and line feed (as
+    #: Python knows it), with the start of a special token or the mark between runs.
+    UNSAFE = (
+        r"\A[ \n]|[ \n]\z|\A\z|  |\n\n| \n|\n |<\||\x00|"
+        r"[\t\x0b\x0c\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+    )
     STOPS = ".,;:!?"
 
     def __init__(self, path: str):
@@ -159,7 +164,7 @@ class LibraryEncoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.known: dict[str, bytes] = {}
+        self.known = Memory(REMEMBERED)
         (self.line_feed,) = self.library.encode("\n", add_special_tokens=False).ids
 
     def _whole(self, texts: list[str]) -> list[bytes]:
@@ -175,33 +180,59 @@ class LibraryEncoder:
         raw = ids.tobytes()
         return [raw[4 * a : 4 * b] for a, b in zip(starts, ends)]
 
-    def _learn(self, missing: list[str]) -> None:
-        """Encodes new runs; the stops after a letter are runs of their own, so that a word is learnt once."""
-        known, parted = self.known, []
+    def _learn(self, missing: set[str]) -> dict[str, bytes]:
+        """Ids of runs; the stops after a letter are runs of their own, so that a word is learnt once."""
+        found: dict[str, bytes] = {}
+        parted, fresh = [], set()
         for run in missing:
-            stem = run.rstrip(self.STOPS)
-            if len(stem) < len(run) and stem and stem[-1].isalpha():
+            known = self.known.old.get(run)
+            if known is not None:
+                found[run] = known
+            elif run == "\n":
+                found[run] = np.array([self.line_feed], "<u4").tobytes()
+            elif (stem := run.rstrip(self.STOPS)) and len(stem) < len(run) and stem[-1].isalpha():
                 parted.append((run, stem, run[len(stem) :]))
-        whole = {r for r, _, _ in parted}
-        fresh = list({p for _, *two in parted for p in two if p not in known}.union(r for r in missing if r not in whole and r != "\n"))
-        known.update(zip(fresh, self._runs(fresh)))
-        known["\n"] = np.array([self.line_feed], "<u4").tobytes()
-        known.update([(run, known[stem] + known[stops]) for run, stem, stops in parted])
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        known = self.known
-        if len(known) >= REMEMBERED:
-            known.clear()
-        runs: list[list[str] | None] = []
-        for text in texts:
-            if not text or text[0].isspace() or text[-1].isspace() or any(x in text for x in self.UNSAFE) or self.OTHER_SPACE.search(text):
-                runs.append(None)
             else:
-                # "\n" is a run of its own; a blank goes with the run after it
-                runs.append(text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0"))
-        self._learn(list({p for r in runs if r for p in r if p not in known}))
-        whole = iter(self._whole([t for t, r in zip(texts, runs) if r is None]))
-        return [next(whole) if r is None else b"".join(map(known.__getitem__, r)) for r in runs]
+                fresh.add(run)
+        young, old = self.known.young, self.known.old
+        for _, stem, stops in parted:
+            for part in (stem, stops):
+                if part not in found and part not in fresh:
+                    known = young.get(part) or old.get(part)
+                    if known is None:
+                        fresh.add(part)
+                    else:
+                        found[part] = known
+        fresh = list(fresh)
+        found.update(zip(fresh, self._runs(fresh)))
+        found.update([(run, found[stem] + found[stops]) for run, stem, stops in parted])
+        self.known.put_all(found)
+        return found
+
+    def _by_runs(self, texts: pa.Array) -> list[bytes]:
+        """Ids of safe texts: each distinct run of the batch is looked up once, and its ids are laid out by position."""
+        # "\n" is a run of its own; a blank goes with the run after it
+        marked = pc.replace_substring(pc.replace_substring(texts, "\n", "\0\n\0"), " ", "\0 ")
+        lists = pc.split_pattern(marked, "\0")
+        coded = lists.flatten().dictionary_encode()
+        runs = coded.dictionary.to_pylist()
+        ids = list(map(self.known.young.get, runs))
+        learnt = self._learn({run for run, x in zip(runs, ids) if x is None})
+        ids = pa.array([learnt[run] if x is None else x for run, x in zip(runs, ids)], pa.large_binary())
+        placed = ids.take(coded.indices)
+        if not len(placed):
+            return []
+        _, offsets, data = placed.buffers()
+        ends = np.frombuffer(offsets, np.int64, len(placed) + 1, 8 * placed.offset)[np.asarray(lists.offsets) - lists.offsets[0].as_py()].tolist()
+        raw = memoryview(data or b"")
+        return [bytes(raw[a:b]) for a, b in zip(ends, ends[1:])]
+
+    def encode(self, texts: pa.Array | list[str]) -> list[bytes]:
+        texts = pc.cast(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), pa.large_string())
+        unsafe = pc.match_substring_regex(texts, self.UNSAFE)
+        by_runs = iter(self._by_runs(texts.filter(pc.invert(unsafe))))
+        whole = iter(self._whole(texts.filter(unsafe).to_pylist()))
+        return [next(whole if x else by_runs) for x in unsafe.to_pylist()]
 
 
 _encoders: dict[str, LibraryEncoder] = {}
@@ -213,18 +244,19 @@ def encoder(path: str) -> LibraryEncoder:
     return _encoders[path]
 
 
-def _slices(batch: pa.RecordBatch, chars: int = 4_000_000) -> Iterable[tuple[list, list[str]]]:
-    """(doc_ids, texts) in runs of a few million bytes, to bound memory."""
-    ids, texts, size = [], [], 0
-    for doc_id, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1))):
-        ids.append(doc_id)
-        texts.append(text.decode("utf-8", "replace"))
-        size += len(text)
-        if size >= chars:
-            yield ids, texts
-            ids, texts, size = [], [], 0
-    if ids:
-        yield ids, texts
+def _slices(batch: pa.RecordBatch, most: int = 8_000_000) -> Iterable[tuple[list, pa.Array]]:
+    """(doc_ids, texts) in runs of a few million bytes, to bound memory; a null text is empty."""
+    texts = pc.fill_null(pc.cast(batch.column(1), pa.large_string()), "")
+    try:
+        texts.validate(full=True)
+    except pa.ArrowInvalid:  # bytes that are no UTF-8
+        texts = pa.array([t.decode("utf-8", "replace") for t in texts_of(pc.cast(texts, pa.large_binary()))], pa.large_string())
+    ids = batch.column(0).to_pylist()
+    pieces = np.cumsum(np.asarray(pc.binary_length(texts))) // most
+    borders = [0, *(np.flatnonzero(np.diff(pieces)) + 1).tolist(), len(ids)]
+    for a, b in zip(borders, borders[1:]):
+        if a < b:
+            yield ids[a:b], texts.slice(a, b - a)
 
 
 def _write(batches: Iterator[pa.RecordBatch], folder: str, path: str, end_id: int) -> Iterator[pa.RecordBatch]:
