@@ -4,7 +4,8 @@ Each stage is a function (spark, docs, sf_dir) -> DataFrame over all rows its pr
 stage returns as Parquet below the shared folder and reads it again, so lost executors cost no finished stage.
 
 Defined results: a null text is empty, fails the quality rules and goes; extra columns of the input travel along up to
-the last stage; an empty table stays empty; rows that repeat id and text become one at the exact duplicates.
+the last stage; an empty table stays empty; rows that repeat id and text become one at the exact duplicates. The mixing
+stage realises how often each row appears; blocks and places, which are no columns of documents, are ``op3``'s result.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemart.llm import bpe, exact_dedup, mixing, quality, simhash
 from tidemart.llm.queries import vocabulary
-from tidemart.llm.tables import new_folder, table
+from tidemart.llm.tables import discard, new_folder, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -60,9 +61,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The last stage's rows; the table of a stage goes once the next one is written."""
+    docs, read = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = new_folder(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if read is not None:
+            discard(read)
+        docs = read = spark.read.parquet(path)
     return docs
