@@ -282,7 +282,7 @@ def test_every_file_goes_by_its_own_header(spark, tmp_path, folders, caplog):
     schema = "id string, n int"
     write(str(tmp_path / "in" / "a.csv"), "id,n", "s1,1")
     write(str(tmp_path / "in" / "b.csv"), "", " N ,id,more", "2,s2,x", "x2,s3,y")
-    write(str(tmp_path / "in" / "c.csv"), '"id"', '"s,4"')
+    write(str(tmp_path / "in" / "c[1] {x}.csv"), '"id"', '"s,4"')
     Path(tmp_path / "in" / "empty.csv").write_text("")
     with gzip.open(tmp_path / "in" / "d.csv.gz", "wt") as f:
         f.write("\ufeffn,n,id\n5,6,s5\n")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import csv
 import logging
+import re
 from collections import defaultdict
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -84,7 +85,8 @@ def _of_group(spark: SparkSession, names: Sequence[str], paths: list[str], decla
     text = {e.lower(): T.StructField(e, T.StringType()) for e in extras}
     in_file = [types.get(n.lower()) or text[n.lower()] for n in names]
     schema = T.StructType([*in_file, T.StructField(CORRUPT, T.StringType())])
-    df = spark.read.schema(schema).options(**options).option("header", True).option("enforceSchema", True).csv(paths)
+    plain = [re.sub(r"([\[\]{}*?\\])", r"\\\1", p) for p in paths]  # names are no patterns
+    df = spark.read.schema(schema).options(**options).option("header", True).option("enforceSchema", True).csv(plain)
     have = {f.name for f in in_file}
     wanted = [*declared.fields, *text.values()]
     columns = [F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in wanted]

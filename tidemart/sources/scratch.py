@@ -10,7 +10,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-_made: list[str] = []
+# (application, folder) of each folder made.
+_made: list[tuple[str | None, str]] = []
 
 
 def scratch_folder(spark: SparkSession) -> str:
@@ -27,16 +28,18 @@ def scratch_folder(spark: SparkSession) -> str:
         folder = tempfile.mkdtemp(prefix="tidemart-")
     else:
         raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    _made.append(folder)
+    _made.append((getattr(spark.sparkContext, "applicationId", None), folder))
     return folder
 
 
 def remove_scratch(spark: SparkSession, before: int = 0) -> None:
     """Deletes the folders this session has made after the first ``before`` ones, once their tables are no longer read."""
-    conf = spark._jsc.hadoopConfiguration()
-    while len(_made) > before:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+    conf, own = spark._jsc.hadoopConfiguration(), spark.sparkContext.applicationId
+    mine = [made for made in _made[before:] if made[0] == own]
+    for made in mine:
+        path = spark._jvm.org.apache.hadoop.fs.Path(made[1])
         path.getFileSystem(conf).delete(path, True)
+        _made.remove(made)
 
 
 @contextmanager
