@@ -57,7 +57,6 @@ def order_item_base(
         ["order_id"],
         "inner",
     )
-    lines = spread_join(items, placed, "order_id", hot.get("order_id"), item, "inner")
     described = spread_join(
         products,
         translation.select("product_category_name", "product_category_name_english"),
@@ -65,7 +64,12 @@ def order_item_base(
         hot.get("product_category_name"),
         ["product_id"],
     )
-    return spread_join(lines, described, "product_id", hot.get("product_id"), item)
+    # The items meet their products first: a product is narrower than an order with its customer and payment, and the rows
+    # of the first join are moved again for the second one.
+    named = spread_join(items, described, "product_id", hot.get("product_id"), item)
+    lines = spread_join(named, placed, "order_id", hot.get("order_id"), item, "inner")
+    keys = ["product_id", "order_id"]
+    return lines.select(*keys, *[c for df in (items, placed, described) for c in df.columns if c not in keys])
 
 
 def with_campaign(base: DataFrame) -> DataFrame:
