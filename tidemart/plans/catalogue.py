@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemart.functions import hash_bucket, session_id
 from tidemart.operators.latest import keep_latest
@@ -387,14 +389,14 @@ def incremental_funnel(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def _land_all_csv(spark: SparkSession, directory: str) -> tuple[str, str, str]:
-    """All nine CSV sources; the sellers in another order of columns, with one more."""
+    """All nine CSV sources, written side by side; the sellers in another order of columns, with one more."""
     w = tables(spark, directory)
     landing, bronze, checkpoints = _ingest_folders(spark)
-    for name in CSV_SOURCES:
-        df = w[f"bronze_{name}"].drop(*AUDIT)
-        if name == "sellers":
-            df = df.select("seller_state", F.lit("x").alias("seller_note"), "seller_id", "seller_zip_code_prefix", "seller_city")
-        land_csv(df, landing, name)
+    sources = {name: w[f"bronze_{name}"].drop(*AUDIT) for name in CSV_SOURCES}
+    noted = ("seller_state", F.lit("x").alias("seller_note"), "seller_id", "seller_zip_code_prefix", "seller_city")
+    sources["sellers"] = sources["sellers"].select(*noted)
+    with ThreadPoolExecutor(len(sources)) as pool:
+        list(pool.map(lambda name: land_csv(sources[name], landing, name), sources))
     return landing, bronze, checkpoints
 
 
@@ -413,13 +415,46 @@ def ingest_csv_headers(spark: SparkSession, directory: str) -> DataFrame:
     return bronze_reader(spark, bronze)("bronze_sellers").drop(*AUDIT)
 
 
+#: Types in which values are told apart; whole numbers and times are longs.
+VALUE = ("string", "double", "bigint")
+
+
+def _column_values(rows: DataFrame, fields: list[T.StructField]) -> DataFrame:
+    """One row per value: the column's number, and the value as the one of ``VALUE`` that its type goes to. Column -1 stands
+    for the row itself."""
+    marked, names = {}, [-1, *range(len(fields))]
+    for i in names:
+        kind = fields[i].dataType.simpleString() if i >= 0 else None
+        for to in VALUE:
+            mine = to == kind or to == "bigint" and kind in ("int", "timestamp")
+            value = F.lit(None) if not mine else F.unix_micros(fields[i].name) if kind == "timestamp" else F.col(fields[i].name)
+            marked[f"{to}_{i}"] = value.cast(to)
+    listed = ", ".join(f"({', '.join(f'`{to}_{i}`' for to in VALUE)}) AS `{i}`" for i in names)
+    wide = rows.select(*[value.alias(name) for name, value in marked.items()])
+    long = f"SELECT * FROM {{wide}} UNPIVOT INCLUDE NULLS (({', '.join(f'`{to}`' for to in VALUE)}) FOR i IN ({listed}))"
+    return rows.sparkSession.sql(long, wide=wide).withColumn("i", F.col("i").cast("int"))
+
+
 def _csv_summary(read: Callable[[str], DataFrame]) -> DataFrame:
-    """Rows per source, and per column how many values it has and how many differ."""
+    """Rows per source, and per column how many values it has and how many differ.
+
+    A row becomes one short row per value, and equal ones are counted; distinct counts of all columns side by side would
+    carry the fields of every column along with each value."""
     parts = []
     for name, ddl in CSV_SOURCES.items():
-        columns = [c.split(" ")[0] for c in ddl.split(", ")]
-        measures = [F.struct(F.lit(c).alias("column_name"), F.count(c).alias("values"), F.count_distinct(c).alias("distinct_values")) for c in columns]
-        summed = read(name).agg(F.count(F.lit(1)).alias("row_count"), F.array(*measures).alias("m"))
+        fields = T.StructType.fromDDL(ddl).fields
+        different = _column_values(read(name), fields).groupBy("i", *VALUE).agg(F.count(F.lit(1)).alias("n"))
+        filled = F.col("string").isNotNull() | F.col("double").isNotNull() | F.col("bigint").isNotNull()
+        measures = [
+            F.struct(
+                F.lit(f.name).alias("column_name"),
+                F.coalesce(F.sum(F.when((F.col("i") == i) & filled, F.col("n"))), F.lit(0)).alias("values"),
+                F.count_if((F.col("i") == i) & filled).alias("distinct_values"),
+            )
+            for i, f in enumerate(fields)
+        ]
+        row_count = F.coalesce(F.sum(F.when(F.col("i") == -1, F.col("n"))), F.lit(0)).alias("row_count")
+        summed = different.agg(row_count, F.array(*measures).alias("m"))
         parts.append(summed.select(F.lit(name).alias("source"), "row_count", F.inline("m")))
     return reduce(DataFrame.unionByName, parts)
 
