@@ -41,7 +41,13 @@ def read_csv(
 
 
 def write_json(
-    df: DataFrame, path: str, files: int, by: str | None = None, spread_by: Sequence[str] = (), max_records: int = 0
+    df: DataFrame,
+    path: str,
+    files: int,
+    by: str | None = None,
+    spread_by: Sequence[str] = (),
+    max_records: int = 0,
+    compression: str = "none",
 ) -> None:
     """JSON files of bounded length, clustered by ``by``.
 
@@ -55,7 +61,7 @@ def write_json(
         spread = df.repartition(files, F.col(by), piece)
     else:
         spread = df.repartition(files, by)
-    spread.write.mode("overwrite").option("maxRecordsPerFile", max_records).json(path)
+    spread.write.mode("overwrite").option("maxRecordsPerFile", max_records).json(path, compression=compression)
 
 
 def materialize(df: DataFrame, warehouse: str, name: str, partition_by: str | None = None) -> DataFrame:

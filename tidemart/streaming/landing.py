@@ -12,6 +12,8 @@ from tidemart.sources.headers import CORRUPT
 # Files and rows per file of a landing run.
 WEB_FILES, WEB_RECORDS = 16, 200_000
 ADS_FILES, ADS_RECORDS = 4, 50_000
+# JSON repeats its names in every line. A packed file is read by one task, which the records per file keep small.
+PACKED = "gzip"
 
 AUDIT = ("ingestion_time", "source_file", "source_api", CORRUPT)
 
@@ -36,9 +38,9 @@ def land_web(df: DataFrame, landing: str, run: str) -> None:
     """One run folder of web events, clustered by campaign."""
     text = df.drop(*AUDIT).withColumn("event_time", F.date_format("event_time", EVENT_TIME_FORMAT))
     files = tasks_for(df, WEB_FILES)
-    write_json(text, f"{landing}/web_events/{run}", files, "campaign_id", ["event_id"], WEB_RECORDS)
+    write_json(text, f"{landing}/web_events/{run}", files, "campaign_id", ["event_id"], WEB_RECORDS, PACKED)
 
 
 def land_ads(df: DataFrame, landing: str, run: str) -> None:
     files = tasks_for(df, ADS_FILES)
-    write_json(df.drop(*AUDIT), f"{landing}/api_ads_raw/{run}", files, max_records=ADS_RECORDS)
+    write_json(df.drop(*AUDIT), f"{landing}/api_ads_raw/{run}", files, max_records=ADS_RECORDS, compression=PACKED)

@@ -67,10 +67,13 @@ class Upserted:
         self.keys: list[str] = self.state["keys"]
         self.touched = sorted({b for buckets in self.state["deltas"].values() for b in buckets})
 
+    def _parts(self, touched: bool) -> dict[str, str]:
+        """Base folders of the buckets that waiting batches touch, or of the others."""
+        return {b: v for b, v in self.state["base"].items() if (int(b) in self.touched) == touched}
+
     def _base(self, touched: bool) -> DataFrame:
-        """Base rows of the buckets that waiting batches touch, or of the others, with their bucket."""
-        parts = {b: v for b, v in self.state["base"].items() if (int(b) in self.touched) == touched}
-        return read_parts(self.spark, f"{self.table}/base", _with_bucket(self.schema), "bucket", parts)
+        """Base rows of these buckets, with their bucket."""
+        return read_parts(self.spark, f"{self.table}/base", _with_bucket(self.schema), "bucket", self._parts(touched))
 
     def deltas(self) -> DataFrame:
         """Rows of the waiting batches, with bucket and batch_id."""
@@ -87,6 +90,8 @@ class Upserted:
     def _touched_rows(self) -> DataFrame:
         """Current rows of the touched buckets, with their bucket."""
         latest = keep_latest(self.deltas(), self.keys, newest=("batch_id",)).drop("batch_id")
+        if not self._parts(touched=True):  # a join with no rows would still sort all waiting ones a second time
+            return latest
         kept = self._base(touched=True).join(latest.select(*self.keys), self.keys, "left_anti")
         return kept.unionByName(latest)
 
