@@ -343,3 +343,29 @@ def test_latest_of_log_needs_no_order(spark):
     rows = [("a", i, i % 3) for i in range(30)]
     df = spark.createDataFrame(rows, "k string, batch_id int, v int").repartition(5)
     assert keep_latest(df, ["k"], newest=("batch_id",)).first()["v"] == 29 % 3
+
+
+def test_waiting_rows_without_a_base_are_sorted_once(spark, tmp_path):
+    """Reading a table whose base has none of the touched buckets joins nothing."""
+    table = str(tmp_path / "t")
+    rows = spark.createDataFrame([("a", 1), ("b", 2)], "event_id string, price int")
+    batch_writer(table, ["event_id"], 4)(rows, 0)
+    batch_writer(table, ["event_id"], 4)(rows.selectExpr("event_id", "price + 10 AS price").filter("event_id = 'b'"), 1)
+    found = read_upserts(spark, table)
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, found.collect())) == [("a", 1), ("b", 12)]
+    Upserted(spark, table).merge()
+    batch_writer(table, ["event_id"], 4)(spark.createDataFrame([("a", 5)], "event_id string, price int"), 2)
+    assert sorted(map(tuple, read_upserts(spark, table).collect())) == [("a", 5), ("b", 12)]
+
+
+def test_landed_json_is_packed(spark, folders):
+    """Small on disk, and read as before."""
+    from tidemart.streaming.landing import land_web
+
+    other = ("TIMESTAMP '2024-01-01 00:00:00' AS event_time", "CAST(id AS double) AS price_at_event", "'c' AS campaign_id")
+    rows = spark.range(2000).selectExpr("CAST(id AS string) AS event_id", *other)
+    land_web(rows, folders[0], "run_1")
+    files = list(Path(folders[0], "web_events", "run_1").glob("part-*"))
+    assert sum(f.stat().st_size for f in files) < 2000 * 40 and all(f.name.endswith(".json.gz") for f in files)
+    assert prices(ingest_web_events(spark, *folders)) == {str(i): float(i) for i in range(2000)}
