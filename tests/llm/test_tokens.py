@@ -110,3 +110,16 @@ def test_token_files_query(awkward, rows, nothing):
     files = token_files.write_token_files(awkward, vocabulary("byte_bpe_50k.json"))
     assert Counter(tuple(r) for r in token_files.read_token_files(files).collect()) == want
     assert token_files.read_token_files(token_files.write_token_files(nothing, vocabulary("byte_bpe_50k.json"))).count() == 0
+
+
+def test_runs_of_sliced_batches_as_the_library():
+    import public_tokenizers
+    import pyarrow as pa
+
+    from tidemart.llm.token_files import LibraryEncoder
+
+    encoder = LibraryEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a b", "x", "a\nb c.", "", "  q", "é ü.\nz", "a", "b. b, a"]
+    whole = encoder._whole(texts)
+    assert encoder.encode(texts) == whole and encoder.encode(pa.array(texts).slice(1, 5)) == whole[1:6]
+    assert encoder.encode([]) == [] and encoder.encode(["", " "]) == encoder._whole(["", " "])

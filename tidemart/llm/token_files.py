@@ -215,13 +215,18 @@ class LibraryEncoder:
         marked = pc.replace_substring(pc.replace_substring(texts, "\n", "\0\n\0"), " ", "\0 ")
         lists = pc.split_pattern(marked, "\0")
         coded = lists.flatten().dictionary_encode()
-        runs = coded.dictionary.to_pylist()
+        if not len(coded):
+            return []
+        # one text of all runs, cut at the mark: far faster than a Python value from each place of an array
+        listed = pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary)
+        runs = pc.binary_join(listed, pa.scalar("\0", pa.large_string()))[0].as_py().split("\0")
         ids = list(map(self.known.young.get, runs))
         learnt = self._learn({run for run, x in zip(runs, ids) if x is None})
-        ids = pa.array([learnt[run] if x is None else x for run, x in zip(runs, ids)], pa.large_binary())
+        ids = [learnt[run] if x is None else x for run, x in zip(runs, ids)]
+        borders = np.zeros(len(ids) + 1, np.int64)
+        np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)), out=borders[1:])
+        ids = pa.Array.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(borders), pa.py_buffer(b"".join(ids))])
         placed = ids.take(coded.indices)
-        if not len(placed):
-            return []
         _, offsets, data = placed.buffers()
         ends = np.frombuffer(offsets, np.int64, len(placed) + 1, 8 * placed.offset)[np.asarray(lists.offsets) - lists.offsets[0].as_py()].tolist()
         raw = memoryview(data or b"")
