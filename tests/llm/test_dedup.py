@@ -148,3 +148,24 @@ def test_empty_tables(nothing):
     assert exact_dedup.exact_duplicates(nothing).count() == 0
     assert simhash.near_duplicates(nothing).count() == 0
     assert exact_dedup.without_exact_duplicates(nothing).count() == 0
+
+
+def test_texts_leave_a_batch_a_few_at_a_time():
+    """A batch's texts are never all held a second time, from Arrow or from pandas."""
+    import tracemalloc
+
+    import pandas as pd
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    from tidemart.llm.tables import texts_of, texts_of_series
+
+    texts = [None if i % 100 == 7 else f"Text {i} " + "x" * 10_000 for i in range(3000)]
+    for read in (lambda: texts_of(pa.array(texts)), lambda: texts_of_series(pd.Series(texts), pc.ascii_lower)):
+        plain = [(t or "").encode() for t in texts]
+        tracemalloc.start()
+        for found, wanted in zip(read(), plain, strict=True):
+            assert found.lower() == wanted.lower()
+        _, most = tracemalloc.get_traced_memory()
+        tracemalloc.stop()
+        assert most < 8_000_000

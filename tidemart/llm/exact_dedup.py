@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 from pyspark.sql.window import Window
 
-from .tables import rows_that_stay, saved, texts_of
+from .tables import rows_that_stay, saved, texts_of, texts_of_series
 
 COUNTERS = 1023
 
@@ -95,7 +95,7 @@ def exact_duplicates(docs: DataFrame, k: int = COUNTERS) -> DataFrame:
 @F.pandas_udf(BinaryType())
 def digest_of(text: pd.Series) -> pd.Series:
     """SHA-256 of each text after lower-casing A-Z; null is empty."""
-    return pd.Series([sha256(t).digest() for t in texts_of(pc.ascii_lower(pa.array(text.tolist(), pa.large_string(), from_pandas=True)))])
+    return pd.Series([sha256(t).digest() for t in texts_of_series(text, pc.ascii_lower)])
 
 
 def without_exact_duplicates(docs: DataFrame, k: int = COUNTERS) -> DataFrame:

@@ -35,7 +35,7 @@ from pyspark.sql.types import LongType
 from tidemart.operators.sampling import hash_border
 
 from .components import SALT, smallest_reachable
-from .tables import saved, texts_of
+from .tables import saved, texts_of, texts_of_series
 
 BITS = 64
 SEED = 42
@@ -268,7 +268,7 @@ def without_near_duplicates(docs: DataFrame, shingle: int = 3, max_distance: int
 
     @F.pandas_udf(LongType())
     def mark(text: pd.Series) -> pd.Series:
-        return pd.Series([fingerprint(t, shingle) for t in texts_of(pa.array(text.tolist(), pa.large_string(), from_pandas=True))], dtype="int64")
+        return pd.Series([fingerprint(t, shingle) for t in texts_of_series(text)], dtype="int64")
 
     rows = saved(docs.withColumns({"__near_fp": mark(F.col("text").cast("string")), "__near_row": F.monotonically_increasing_id()}), "marked-rows")
     doc_id = F.col("doc_id").cast("long")
