@@ -342,6 +342,40 @@ def test_personal_data_query(awkward, rows, nothing):
     assert pii.found(nothing, net).count() == 0
 
 
+@pytest.mark.parametrize("scale", [1, 40])  # 40: gates that are shut or open all the way
+def test_network_equals_a_plain_one_without_its_slow_function(scale, monkeypatch):
+    rng = np.random.default_rng(scale)
+    net = pii.Network.fresh(rng)
+    net.p |= {k: (net.p[k] * scale).astype(np.float32) for k in ("xf", "xb", "bf", "bb")}
+    net.p["t"] = rng.normal(0, 1, net.p["t"].shape).astype(np.float32)
+    chars = rng.integers(0, pii.CLASSES, (40, 30)).astype(np.uint8)
+    p, n = {k: v.astype(float) for k, v in net.p.items()}, pii.HIDDEN
+    want = np.repeat(p["eb"][None], 40, axis=0) + np.zeros((1, 1, 30))
+    for d, order, e in (("f", range(40), p["e"][:, :n]), ("b", range(39, -1, -1), p["e"][:, n:])):
+        h = c = np.zeros((n, 30))
+        for t in order:
+            x = p["x" + d][:, chars[t]] + p["u" + d] @ h + p["b" + d]
+            i, f, o = (0.5 + 0.5 * np.tanh(x[k * n : (k + 1) * n] / 2) for k in range(3))
+            c = f * c + i * np.tanh(x[3 * n :])
+            h = o * np.tanh(c)
+            want[t] += e @ h
+    evaluated = []
+    tanh = np.tanh
+    monkeypatch.setattr(np, "tanh", lambda x, *a, **k: evaluated.append(np.size(x)) or tanh(x, *a, **k))
+    got = net.emissions(chars)
+    assert not evaluated
+    assert np.abs(got - want).max() < 1e-4
+    best, ways = got[0], []
+    for t in range(1, 40):
+        sums = best[:, None] + net.p["t"][:, :, None]
+        ways.append(sums.argmax(axis=0))
+        best = got[t] + sums.max(axis=0)
+    path = [best.argmax(axis=0)]
+    for way in reversed(ways):
+        path.append(way[path[-1], np.arange(30)])
+    assert (net.decode(chars) == np.stack(path[::-1])).all()
+
+
 def test_windows_are_joined_over_the_whole_text():
     class Marks:
         """Tags every digit as part of a phone number."""

@@ -148,49 +148,66 @@ class Network:
         return Network({k: v.astype(np.float32) for k, v in p.items()})
 
     def emissions(self, chars: np.ndarray) -> np.ndarray:
-        """(T, tags, B) for characters (T, B)."""
+        """(T, tags, B) for characters (T, B). A sigmoid is 1 / (1 + exp(-x)), a tanh twice the sigmoid of 2 x, less 1; the signs and
+        factors are in the weights. The cell is kept as -2 c and its output as h / 2, so that both need no steps of their own."""
         steps, batch = chars.shape
-        h_size = self.p["uf"].shape[1]
-        half = np.ones((4 * h_size, 1), np.float32)
-        half[: 3 * h_size] = 0.5  # sigmoid(x) = tanh(x / 2) / 2 + 1 / 2
-        out = np.empty((steps, len(self.p["eb"]), batch), np.float32)
+        n, tags = self.p["uf"].shape[1], len(self.p["eb"])
+        scale = np.repeat(np.float32([-1, -1, -1, -2]), n)[:, None]
+        out = np.empty((steps, tags, batch), np.float32)
         out[:] = self.p["eb"]
-        x, z, tc = np.empty((4 * h_size, batch), np.float32), np.empty((4 * h_size, batch), np.float32), np.empty((h_size, batch), np.float32)
-        for d, order, e in (("f", range(steps), self.p["e"][:, :h_size]), ("b", range(steps - 1, -1, -1), self.p["e"][:, h_size:])):
-            table = (self.p["x" + d] + self.p["b" + d]) * half
-            u, e = self.p["u" + d] * half, np.ascontiguousarray(e)
-            h, c = np.zeros((h_size, batch), np.float32), np.zeros((h_size, batch), np.float32)
-            for t in order:
-                np.take(table, chars[t], axis=1, out=x, mode="clip")
-                np.matmul(u, h, out=z)
-                z += x
-                np.tanh(z, out=z)
-                gates = z[: 3 * h_size]
-                gates *= 0.5
-                gates += 0.5
-                i, f, o, g = z[:h_size], z[h_size : 2 * h_size], z[2 * h_size : 3 * h_size], z[3 * h_size :]
-                c *= f
-                i *= g
-                c += i
-                np.tanh(c, out=tc)
-                np.multiply(o, tc, out=h)
-                out[t] += e @ h
+        z, x, h = np.empty((4, batch, n), np.float32), np.empty((batch, n), np.float32), np.empty((batch, n), np.float32)
+        emitted = np.empty((tags, batch), np.float32)
+        i, f, o, g = z
+        for d, order, e in (("f", range(steps), self.p["e"][:, :n]), ("b", range(steps - 1, -1, -1), self.p["e"][:, n:])):
+            by_gate = ((self.p["x" + d] + self.p["b" + d]) * scale).reshape(4, n, -1)
+            table = np.ascontiguousarray(by_gate.transpose(0, 2, 1))
+            u = np.ascontiguousarray((2 * self.p["u" + d] * scale).reshape(4, n, n).transpose(0, 2, 1))
+            e, c = np.ascontiguousarray(2 * e), np.zeros((batch, n), np.float32)
+            h[:] = 0
+            with np.errstate(over="ignore"):  # 1 / (1 + infinity) is the 0 it should be
+                for t in order:
+                    np.matmul(h, u, out=z)
+                    at = chars[t].astype(np.intp)
+                    for gate, rows in zip(z, table):
+                        np.take(rows, at, axis=0, out=x, mode="clip")
+                        gate += x
+                    np.exp(z, out=z)
+                    z += 1
+                    np.reciprocal(z, out=z)
+                    g *= -4
+                    g += 2
+                    g *= i
+                    c *= f
+                    c += g
+                    np.exp(c, out=h)
+                    h += 1
+                    np.reciprocal(h, out=h)
+                    h -= 0.5
+                    h *= o
+                    np.matmul(e, h.T, out=emitted)
+                    out[t] += emitted
         return out
 
     def decode(self, chars: np.ndarray) -> np.ndarray:
-        """Best tags (T, B) by Viterbi."""
+        """Best tags (T, B) by Viterbi; of equally good ones the first."""
         best = self.emissions(chars)
-        trans = self.p["t"]
         steps, tags, batch = best.shape
-        for t in range(1, steps):
-            before = best[t - 1]
+        trans = np.ascontiguousarray(self.p["t"])
+        sums, top, more = np.empty((tags, batch), np.float32), np.empty(batch, np.float32), np.empty(batch, bool)
+        for before, now in zip(best, best[1:]):
             for j in range(tags):
-                best[t, j] += (before + trans[:, j, None]).max(axis=0)
-        out = np.empty((steps, batch), np.int8)
+                np.add(before, trans[:, j, None], out=sums)
+                now[j] += sums.max(axis=0, out=top)
+        out = np.zeros((steps, batch), np.int8)
         out[-1] = best[-1].argmax(axis=0)
-        into = np.ascontiguousarray(trans)
         for t in range(steps - 1, 0, -1):
-            out[t - 1] = (best[t - 1] + into[:, out[t]]).argmax(axis=0)
+            np.take(trans, out[t], axis=1, out=sums, mode="clip")
+            sums += best[t - 1]
+            top[:] = sums[0]
+            for j in range(1, tags):
+                np.greater(sums[j], top, out=more)
+                np.copyto(out[t - 1], j, where=more)
+                np.maximum(top, sums[j], out=top)
         return out
 
 
