@@ -5,6 +5,7 @@ from collections import Counter
 from hashlib import sha256
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard
 
@@ -50,6 +51,29 @@ def test_encoding_query_equals_the_library(awkward, rows):
     assert ids[3 + 10] == [] and len(ids[0]) > 100
 
 
+def test_encoding_query_remembers_more_words_than_the_pipeline(monkeypatch):
+    """Words that come again in the same order are encoded once, though the pipeline's encoder would have forgotten them."""
+    words = ["".join("etaoinshrd"[int(c)] for c in str(n)) for n in range(200_000, 380_000)]
+    batch = pa.record_batch([pa.array([1, 2]), pa.array([" ".join(words)] * 2)], names=["doc_id", "text"])
+    encoded, path = Counter(), vocabulary("word_bpe_49k.json")
+    plain = bpe.WordBpe._of_symbols
+    monkeypatch.setattr(bpe, "_loaded", {})
+    monkeypatch.setattr(bpe.WordBpe, "_of_symbols", lambda self, word: encoded.update([word]) or plain(self, word))
+    rows = pa.Table.from_batches(bpe._encoded(iter([batch]), path)).to_pylist()
+    assert len(encoded) == len(words) and max(encoded.values()) == 1
+    assert {k: v for k, v in rows[0].items() if k != "doc_id"} == {k: v for k, v in rows[1].items() if k != "doc_id"}
+    small = bpe.loaded(path)  # as the pipeline uses it
+    assert small is not bpe.loaded(path, bpe.REMEMBERED_ALONE)
+    assert (small.words.size, small.runs.size, small.compatible_pairs.size) == bpe.REMEMBERED
+
+
+def test_joined_table_renders_any_ids():
+    table = bpe.JoinedTable([b"a", b"", "é".encode(), b"xyz"])
+    assert table.render(np.array([], "<u4")) == b""
+    assert table.render(np.array([3, 1, 2, 0, 1], "<u4")) == b"xyz  \xc3\xa9 a "
+    assert table.render(np.array([1], "<u4")) == b""
+
+
 def test_library_encoder_equals_whole_texts():
     ours, theirs = token_files.LibraryEncoder(vocabulary("byte_bpe_50k.json")), library("byte_bpe_50k.json")
     texts = fuzz(1500)

@@ -33,8 +33,9 @@ from pyspark.sql import functions as F
 
 from .tables import texts_of
 
-#: Words, runs between blanks, and token pairs that a worker remembers in each of two generations.
-WORDS, RUNS, PAIRS = 80_000, 30_000, 50_000
+#: Words, runs between blanks, and token pairs that a worker remembers in each of two generations: next to ids of whole
+#: texts, and where a worker holds little else (up to about 250 MB if all are filled).
+REMEMBERED, REMEMBERED_ALONE = (80_000, 30_000, 50_000), (250_000, 250_000, 150_000)
 #: Signs that end a run without changing the word before them.
 STOPS = b".,;:!?"
 #: Rows whose ids are sent back at once.
@@ -53,21 +54,18 @@ def byte_alphabet() -> list[str]:
 
 
 class JoinedTable:
-    """Strings by number in one buffer with offsets; ``render`` joins any sequence of them by one space."""
+    """Strings by number; ``render`` joins any sequence of them by one space. They lie in one buffer with offsets, each with its space
+    behind it, so what Arrow takes lies joined in the buffer of the result."""
 
     def __init__(self, strings: list[bytes]):
-        self.buffer = np.frombuffer(b"".join(s + b" " for s in strings), np.uint8)
-        self.offsets = np.concatenate([[0], np.cumsum([len(s) + 1 for s in strings])]).astype(np.int32)
+        self.strings = pa.array([s + b" " for s in strings], pa.large_binary())
 
     def render(self, ids: np.ndarray) -> bytes:
         if not len(ids):
             return b""
-        starts = self.offsets[ids]
-        lengths = self.offsets[ids + 1] - starts
-        ends = np.cumsum(lengths, dtype=np.int64)
-        kind = np.int32 if ends[-1] < 1 << 31 else np.int64
-        at = np.arange(ends[-1], dtype=kind) + np.repeat((starts - (ends - lengths)).astype(kind), lengths)
-        return self.buffer[at][:-1].tobytes()
+        taken = self.strings.take(pa.array(ids))
+        _, offsets, joined = taken.buffers()
+        return joined[: int(np.frombuffer(offsets, np.int64)[len(ids)]) - 1].to_pybytes()
 
 
 class Memory:
@@ -97,7 +95,7 @@ class Memory:
 class WordBpe:
     """Encoder and decoder for one vocabulary file."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: tuple[int, int, int] = REMEMBERED):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         vocab, merges, end = spec["model"]["vocab"], spec["model"]["merges"], spec["model"]["end_of_word_suffix"]
@@ -129,7 +127,7 @@ class WordBpe:
             self.automaton.add_word(s[::-1], t)
         self.automaton.make_automaton()
         self.last = {b: chr(LAST + b) for b in range(256)}
-        self.compatible_pairs, self.words, self.runs = Memory(PAIRS), Memory(WORDS), Memory(RUNS)
+        self.words, self.runs, self.compatible_pairs = map(Memory, remembered)
         self.token_table = JoinedTable([self.strings.get(t, "").encode() for t in range(size)])
 
     def compatible(self, left: int, right: int) -> bool:
@@ -232,18 +230,18 @@ class WordBpe:
         return self.token_table.render(ids)
 
 
-_loaded: dict[str, WordBpe] = {}
+_loaded: dict[tuple, WordBpe] = {}
 
 
-def loaded(path: str) -> WordBpe:
-    """One encoder per worker process and vocabulary."""
-    if path not in _loaded:
-        _loaded[path] = WordBpe(path)
-    return _loaded[path]
+def loaded(path: str, remembered: tuple[int, int, int] = REMEMBERED) -> WordBpe:
+    """One encoder per worker process, vocabulary and size of its memory."""
+    if (path, remembered) not in _loaded:
+        _loaded[path, remembered] = WordBpe(path, remembered)
+    return _loaded[path, remembered]
 
 
 def _encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    bpe = loaded(path)
+    bpe = loaded(path, REMEMBERED_ALONE)
     decimal = JoinedTable([str(i).encode() for i in range(len(bpe.length))])
     for batch in batches:
         n, ids_sha, text_sha = [], [], []
